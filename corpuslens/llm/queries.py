@@ -47,3 +47,54 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
     return read_documents(spark, path)
+
+
+OP8_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS side, doc_id AS id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') FROM benchmark
+), grams AS (
+  SELECT side, id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                               WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' #short'] ELSE [] END) AS g FROM words
+), d AS (SELECT DISTINCT id, g FROM grams WHERE side = 'd'),
+   b AS (SELECT DISTINCT id, g FROM grams WHERE side = 'b'),
+   n AS (SELECT id, count(*) AS n_item FROM b GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, any_value(n_item) AS n_item, count(*) / any_value(n_item) AS containment
+FROM d JOIN b ON d.g = b.g JOIN n ON n.id = b.id
+GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n_item)
+"""
+
+
+@query("op8_decontamination", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+OP9_SQL = r"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), hits AS (
+  SELECT s.page_id, s.host, s.path, r.*,
+         row_number() OVER (PARTITION BY s.page_id ORDER BY length(rule_host) + length(rule_path) DESC NULLS LAST) AS n
+  FROM split s LEFT JOIN rules r ON ('.' || s.host) LIKE ('%.' || r.rule_host) AND starts_with(s.path, r.rule_path)
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict
+FROM hits WHERE n = 1
+"""
+
+
+@query("op9_url_rules", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.url_rules import url_verdicts
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_verdicts(table(spark, sf_dir, "pages"), rules)
