@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +99,46 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op5_language_spans")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.language import detect, train
+
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = train(docs, ~held)
+    return detect(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+OP7_SQL = r"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op7_topk_threshold", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.topk import quantized, top_k
+
+    vectors = quantized(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op10_toxicity_grammar")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = train(docs, table(spark, sf_dir, "labels"), ~held)
+    return score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
