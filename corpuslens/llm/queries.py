@@ -142,3 +142,55 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = train(docs, table(spark, sf_dir, "labels"), ~held)
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Production takes the key from its secret store; this one only makes results repeatable.
+SURROGATE_KEY = b"corpuslens surrogate key 1"
+
+
+@query("op1_surrogates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.pii import pseudonymize
+
+    done = pseudonymize(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return done.select("doc_id", "text", F.size("entity_kinds").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct("entity_kinds")), ",").alias("kinds"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' #short'] ELSE [] END) AS g FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+rare AS (
+  SELECT g.doc_id, g.g, s.n, row_number() OVER (PARTITION BY g.doc_id ORDER BY f.c, g.g) AS place
+  FROM grams g JOIN (SELECT g, count(*) AS c FROM grams GROUP BY g) f ON g.g = f.g JOIN sizes s ON s.doc_id = g.doc_id
+), pairs AS (
+  SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM rare a JOIN rare b ON a.g = b.g AND a.doc_id < b.doc_id
+  WHERE a.place <= a.n - ceil(0.85 * a.n) + 1 AND b.place <= b.n - ceil(0.85 * b.n) + 1 AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), links AS (
+  SELECT p.x, p.y FROM pairs p JOIN grams a ON a.doc_id = p.x JOIN grams b ON b.doc_id = p.y AND a.g = b.g
+  JOIN sizes s ON s.doc_id = p.x JOIN sizes t ON t.doc_id = p.y
+  GROUP BY p.x, p.y, s.n, t.n HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.y) AS component_id, d.doc_id = min(r.y) AS kept
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op4_tensored_minhash", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, widths=(3, 3))
+
+
+@query("op6_license_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpuslens.llm.license import license_documents
+
+    return license_documents(table(spark, sf_dir, "documents"))
