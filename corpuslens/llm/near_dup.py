@@ -8,6 +8,7 @@ Candidates are confirmed on the whole shingle sets.
    row each and no pairs.
 2. Every class meets the leader of its table buckets: one pair a class, with the
    leader of which it shares most tables.  Confirmed pairs give components.
+   Leaders in other orders then join most of what is still apart.
 3. Buckets that still hold several components give the pairs between different
    components, which are confirmed and joined.  Pairs inside a component cannot
    change it and are never made, so a large group of near copies costs a star
@@ -96,13 +97,14 @@ def band_counts(similarity: float, widths: tuple[int, int], miss: float = 1e-4)
     return tuple(math.ceil(math.log(miss / 2) / math.log(1 - similarity**w)) for w in widths)
 
 
-def _bands(u: np.ndarray, counts: tuple[int, int], widths: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def _bands(u: np.ndarray, counts: tuple[int, int], widths: tuple[int, int]) -> tuple[np.ndarray, ...]:
+    """Upper halves of the minhashes, and the bands of both collections."""
     n = counts[0] * widths[0] + counts[1] * widths[1]
     least = np.full(n, np.uint64(2**64 - 1))
     for a in range(0, len(u), 4096):
         part = u[a : a + 4096, None]
         least = np.minimum(least, ((part ^ _FLIP[:n]) * _MULTIPLY[:n]).min(axis=0))
-    out, at = [], 0
+    out, at = [(least >> np.uint64(32)).astype(np.uint32).view(np.int32)], 0
     for c, w in zip(counts, widths):
         key = np.zeros(c, dtype=np.uint64)
         for k in range(w):
@@ -112,7 +114,7 @@ def _bands(u: np.ndarray, counts: tuple[int, int], widths: tuple[int, int]) -> t
     return tuple(out)
 
 
-BASE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>"
+BASE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, sketch array<int>, a array<long>, b array<long>"
 
 
 def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tuple[int, int]) -> DataFrame:
@@ -126,11 +128,11 @@ def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tup
                 with np.errstate(over="ignore"):
                     h1 = [int(_mix(u).sum(dtype=np.uint64).view(np.int64)) for u in sets]
                     h2 = [int(_mix(u ^ _FLIP[511]).sum(dtype=np.uint64).view(np.int64)) for u in sets]
-                bands = [_bands(u, counts, widths) if len(u) else (None, None) for u in sets]
+                bands = [_bands(u, counts, widths) if len(u) else (None, None, None) for u in sets]
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(u) for u in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([x[0] for x in bands], kind), pa.array([x[1] for x in bands], kind)],
-                    names=["doc_id", "n_shingles", "h1", "h2", "a", "b"],
+                    [part.column(0), pa.array([len(u) for u in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([x[0] for x in bands], pa.list_(pa.int32())), pa.array([x[1] for x in bands], kind), pa.array([x[2] for x in bands], kind)],
+                    names=["doc_id", "n_shingles", "h1", "h2", "sketch", "a", "b"],
                 )
 
     return docs.mapInArrow(run, BASE_SCHEMA)
@@ -194,7 +196,7 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("x").alias("node"), F.col("y").alias("root")).union(edges.select("y", "y").distinct())
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, widths: tuple[int, int] = (2, 3), miss: float = 1e-4) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, widths: tuple[int, int] = (2, 3), miss: float = 1e-4, orders: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (doc_id, text).
 
     Documents are linked where 100 * intersection >= percent * union of their
@@ -203,14 +205,16 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     not even each other.  Rows with a null doc_id are never linked: component
     null, kept true.  Repeated rows are all returned; extra columns are ignored.
     A pair just at the threshold is missed as a candidate with a probability of
-    ``miss`` at most, one above it with less.
+    twice ``miss`` at most (no common table, or sketches that disagree by
+    chance), one above it with less.  ``orders`` counts the further leaders
+    that are tried before buckets of several components are compared in full.
     """
     counts = band_counts(percent / 100, widths, miss)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = stored(_summaries(docs, width, counts, widths), "summaries")
 
     grouped = base.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
-    classes = grouped.agg(F.min("doc_id").alias("lead_doc"), F.first("n_shingles").alias("n"), F.first("a").alias("a"), F.first("b").alias("b"))
+    classes = grouped.agg(F.min("doc_id").alias("lead_doc"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("a").alias("a"), F.first("b").alias("b"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     def positions(name: str, n: int):
@@ -224,21 +228,35 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
 
     shared = met.filter(F.col("cid") > F.col("lead")).groupBy("cid", "lead").agg(F.count("*").alias("tables"))
     star = shared.groupBy("cid").agg(F.max_by("lead", F.struct("tables", -F.col("lead"))).alias("y")).select(F.col("cid").alias("x"), "y")
-    size = classes.select(F.col("cid"), F.col("n"))
+    needed = least_agreement(percent / 100, counts[0] * widths[0] + counts[1] * widths[1], miss)
+    shapes = classes.select("cid", "n", "sketch")
     wanted = met.select("cid").distinct()
     sets = stored(_sets(docs, classes.join(wanted, "cid", "left_semi"), width), "sets")
-    links = stored(_confirmed(_sized(star, size, percent), sets, percent), "links")
+    links = stored(_confirmed(_likely(star, shapes, percent, needed), sets, percent), "links")
     roots = components(links)
 
     def rooted(ids: DataFrame) -> DataFrame:
         return ids.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
+    # Other leaders, in orders of their own, join most of a group; what is left is compared below.
+    for salt in range(1, orders + 1):
+        leader = F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("h"), "cid", "root")).over(bucket)
+        apart = rooted(met.select("cid", "key")).withColumn("leader", leader).filter("leader.root <> root")
+        apart = apart.groupBy("cid", F.col("leader.cid").alias("y")).agg(F.count("*").alias("tables"))
+        nearest = Window.partitionBy("cid").orderBy(F.desc("tables"), "y")
+        near = apart.withColumn("place", F.row_number().over(nearest)).filter("place <= 3").select(F.col("cid").alias("x"), "y")
+        more = stored(_confirmed(_likely(near, shapes, percent, needed), sets, percent), "links")
+        if not more.limit(1).count():
+            break
+        links = links.union(more)
+        roots = components(links)
+
     placed = rooted(met.select("cid", "key"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    open_ = stored(placed.join(mixed, "key"), "open")
-    one, two = (open_.select("key", F.col("cid").alias(c), F.col("root").alias(f"root_{c}")) for c in "xy")
-    across = one.join(two, "key").filter((F.col("root_x") < F.col("root_y"))).select("x", "y").distinct()
-    across = _agreeing(_sized(across.join(star, ["x", "y"], "left_anti"), size, percent), classes)
+    open_ = stored(placed.join(mixed, "key").join(shapes, "cid"), "open")
+    one, two = (open_.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("cid", "root", "n", "sketch")]) for c in "xy")
+    meet = (one["key"] == two["key"]) & (F.col("root_x") < F.col("root_y")) & _alike(percent, needed)
+    across = one.join(two, meet).select(F.col("cid_x").alias("x"), F.col("cid_y").alias("y")).distinct()
     more = stored(_confirmed(across, sets, percent), "links")
     if more.limit(1).count():
         roots = components(links.union(more))
@@ -252,19 +270,26 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _sized(pairs: DataFrame, size: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    x, y = (size.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}")) for c in "xy")
-    both = pairs.join(x, "x").join(y, "y")
-    return both.filter(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")).select("x", "y")
+def least_agreement(similarity: float, n: int, miss: float) -> int:
+    """Most minhashes of ``n`` that a pair at ``similarity`` agrees in but for a probability of ``miss``."""
+    below = 0.0
+    for k in range(n + 1):
+        below += math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k)
+        if below > miss:
+            return k
+    return n
+
+
+def _alike(percent: int, needed: int):
+    """Condition on (n_x, sketch_x, n_y, sketch_y): sizes allow the similarity, and the sketches agree often enough."""
+    agree = F.size(F.filter(F.zip_with("sketch_x", "sketch_y", lambda p, q: p == q), lambda e: e))
+    return (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (agree >= needed)
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame, least: int = 4) -> DataFrame:
-    """Pairs that agree in ``least`` bands; at the default widths a pair at the threshold has three or fewer with a probability below 1e-5."""
-    x, y = (classes.select(F.col("cid").alias(c), F.concat("a", "b").alias(f"bands_{c}")) for c in "xy")
-    both = pairs.join(x, "x").join(y, "y")
-    agree = F.size(F.filter(F.zip_with("bands_x", "bands_y", lambda p, q: p == q), lambda e: e))
-    return both.filter(agree >= least).select("x", "y")
+def _likely(pairs: DataFrame, shapes: DataFrame, percent: int, needed: int) -> DataFrame:
+    """Pairs that sizes and sketches leave possible."""
+    x, y = (shapes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "xy")
+    return pairs.join(x, "x").join(y, "y").filter(_alike(percent, needed)).select("x", "y")
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
