@@ -1,0 +1,162 @@
+"""Parsers from files to text units, and strict JSON-lines readers.
+
+Files come from Spark's ``binaryFile`` reader; a parser is a function from bytes
+to unit records that runs in an Arrow batch UDF.  A file that fails becomes a
+failure row and never fails the task.
+"""
+
+from __future__ import annotations
+
+import csv
+import io
+import json
+import re
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+TECHNICAL_FOLDERS = (".git", ".venv", "venv", "__pycache__", "node_modules", ".pytest_cache")
+UNIT_SCHEMA = "path string, parser string, unit_index int, unit_type string, text string, locator string, metadata string, error string"
+_HEADING = re.compile(r"^\s{0,3}(#{1,6})\s+(.+?)\s*#*\s*$")
+_ANSI = re.compile(r"\x1b\[[0-9;?]*[ -/]*[@-~]")
+Unit = tuple[str, str, str | None, dict]
+
+
+def discover(spark: SparkSession, root: str) -> DataFrame:
+    """``path, relative_path, length, modificationTime, content`` below a root, without technical folders and office lock files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    base = re.sub(r"^file:/*", "/", root).rstrip("/") + "/"
+    relative = F.regexp_replace("path", "^(?:file:)?/*" + re.escape(base.lstrip("/")), "")
+    pruned = "(?:^|/)(?:" + "|".join(map(re.escape, TECHNICAL_FOLDERS)) + ")/"
+    return files.withColumn("relative_path", relative).filter(~F.col("relative_path").rlike(pruned) & ~F.col("relative_path").rlike(r"(?:^|/)~\$[^/]*$"))
+
+
+def plain(content: bytes, path: str) -> Iterator[Unit]:
+    lines = content.decode("utf-8").splitlines()
+    yield "text", "\n".join(lines), None, {"line_count": len(lines)}
+
+
+def markdown(content: bytes, path: str) -> Iterator[Unit]:
+    """Sections from one heading to the next; headings inside backtick fences are text."""
+    lines = content.decode("utf-8").splitlines()
+    heads, fenced = [], False
+    for i, line in enumerate(lines):
+        if line.lstrip().startswith("```"):
+            fenced = not fenced
+        elif not fenced and (m := _HEADING.match(line)):
+            heads.append((i, len(m[1]), m[2]))
+    cuts = [0, *(h[0] for h in heads), len(lines)]
+    if "\n".join(lines[: cuts[1]]) and cuts[1] > 0:
+        yield "markdown_section", "\n".join(lines[: cuts[1]]), f"line:1-{cuts[1]}", {"heading": "", "heading_path": []}
+    trail: list[tuple[int, str]] = []
+    for (start, level, title), end in zip(heads, cuts[2:]):
+        trail = [t for t in trail if t[0] < level] + [(level, title)]
+        yield "markdown_section", "\n".join(lines[start:end]), f"line:{start + 1}-{end}", {"heading": title, "heading_path": [t[1] for t in trail]}
+
+
+def json_leaves(content: bytes, path: str) -> Iterator[Unit]:
+    """Leaves in key order with JSON pointers; empty containers are leaves."""
+    names = {str: "string", bool: "boolean", type(None): "null", int: "integer", float: "number", dict: "object", list: "array"}
+
+    def walk(value, pointer: str) -> Iterator[Unit]:
+        if isinstance(value, dict | list) and value:
+            for k, v in value.items() if isinstance(value, dict) else enumerate(value):
+                yield from walk(v, f"{pointer}/{str(k).replace('~', '~0').replace('/', '~1')}")
+        else:
+            text = value if isinstance(value, str) else json.dumps(value) if isinstance(value, bool | dict | list) or value is None else str(value)
+            yield "json_value", text, pointer, {"json_pointer": pointer, "value_type": names[type(value)]}
+
+    yield from walk(json.loads(content.decode("utf-8")), "")
+
+
+def notebook(content: bytes, path: str) -> Iterator[Unit]:
+    """Cells and their text outputs."""
+    joined = lambda s: "".join(s) if isinstance(s, list) else s
+    for i, cell in enumerate(json.loads(content.decode("utf-8"))["cells"]):
+        yield "notebook_cell", joined(cell["source"]), f"cell:{i}", {"cell_type": cell["cell_type"]}
+        for j, out in enumerate(cell.get("outputs", [])):
+            kind, text = out.get("output_type"), None
+            if kind == "stream":
+                text = joined(out.get("text", ""))
+            elif kind in ("display_data", "execute_result"):
+                data = out.get("data", {})
+                mime = next((m for m in ("text/plain", "text/markdown", "application/json") if m in data), None)
+                text = None if mime is None else joined(data[mime]) if mime != "application/json" else json.dumps(data[mime], ensure_ascii=False, sort_keys=True)
+            elif kind == "error":
+                text = _ANSI.sub("", "\n".join([f"{out.get('ename', '')}: {out.get('evalue', '')}", *out.get("traceback", [])]))
+            if text is not None:
+                yield "notebook_output", text, f"cell:{i}/output:{j}", {"output_type": kind}
+
+
+def headers_of(raw: list[str], width: int) -> list[str]:
+    """Stripped headers; blank and surplus ones get names, repeats get numbers."""
+    out, seen = [], {}
+    for i in range(max(len(raw), width)):
+        name = (raw[i].strip() if i < len(raw) else "") or f"column_{i + 1}"
+        seen[name] = seen.get(name, 0) + 1
+        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    return out
+
+
+def delimited(content: bytes, path: str) -> Iterator[Unit]:
+    """Header and rows of a CSV or TSV file, with logical row numbers."""
+    mark = "\t" if path.lower().endswith(".tsv") else ","
+    rows = list(csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""), delimiter=mark))
+    if not rows:
+        return
+    head = headers_of(rows[0], len(rows[0]))
+    yield "table_header", " | ".join(head), "row:1", {"headers": head, "delimiter": mark}
+    for n, row in enumerate(rows[1:], start=2):
+        names = headers_of(rows[0], len(row))
+        values = row + [""] * (len(names) - len(row))
+        yield "table_row", " | ".join(f"{h}={v}" for h, v in zip(names, values)), f"row:{n}", {"headers": names, "values": values, "logical_row_number": n, "width_mismatch": len(row) != len(head)}
+
+
+REGISTRY: dict[str, tuple[str, Callable[[bytes, str], Iterator[Unit]]]] = {
+    **{s: ("plain_text", plain) for s in (".txt", ".py", ".toml", ".lock")},
+    ".md": ("markdown", markdown),
+    ".json": ("json", json_leaves),
+    ".ipynb": ("notebook", notebook),
+    **{s: ("delimited_text", delimited) for s in (".csv", ".tsv")},
+}
+
+
+def extract(files: DataFrame) -> DataFrame:
+    """Unit rows of supported files (relative_path, content); a failed file gives one row with ``error``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for path, content in zip(batch["relative_path"], batch["content"]):
+                dot = path.rfind(".")
+                name, parser = REGISTRY.get(path[dot:].lower() if dot > path.rfind("/") + 1 else "", (None, None))
+                if parser is None:
+                    out.append((path, None, None, None, None, None, None, "unsupported"))
+                    continue
+                try:
+                    units = list(parser(bytes(content), path))
+                    out += [(path, name, i, kind, text, at, json.dumps(meta, ensure_ascii=False, sort_keys=True), None) for i, (kind, text, at, meta) in enumerate(units)]
+                except Exception as error:  # the failure is the row
+                    out.append((path, name, None, None, None, None, None, f"{type(error).__name__}: {error}"[:500]))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in UNIT_SCHEMA.split(", ")])
+
+    return files.select("relative_path", "content").mapInPandas(run, UNIT_SCHEMA)
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, required: list[str], unique: str | None = None) -> DataFrame:
+    """Strict reader: blank lines, broken JSON, missing required fields and repeated keys raise."""
+    raw = spark.read.text(path)
+    parsed = raw.select(F.col("value"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"))
+    bad = F.trim("value") == F.lit("")
+    for name in required:
+        bad = bad | F.col(f"r.{name}").isNull()
+    wrong = parsed.filter(bad | F.col("r").isNull()).limit(1).collect()
+    if wrong:
+        raise ValueError(f"{path}: invalid record: {wrong[0]['value'][:200]!r}")
+    rows = parsed.select("r.*")
+    if unique and rows.groupBy(unique).count().filter("count > 1").limit(1).count():
+        raise ValueError(f"{path}: {unique} is repeated")
+    return rows
