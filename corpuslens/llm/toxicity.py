@@ -199,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, *, samp
     if n > sample_rows:
         labels = labels.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull()).join(labels, "doc_id")
-    words = rows.select("doc_id", "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}']+"))).alias("word")).filter(F.length("word") > 1)
+    words = rows.select("doc_id", "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_']+"))).alias("word")).filter(F.length("word") > 1)
     stems = words.select("doc_id", "toxic", F.explode(_stems(F.col("word"))).alias("stem")).distinct()
     sizes = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     least = max(least, math.ceil(sizes.get(1, 0) / 200))

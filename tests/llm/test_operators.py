@@ -1,0 +1,198 @@
+"""The llm operators against brute force, round trips, and odd rows."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpuslens.llm import decontaminate, direct_codes, language, license, near_dup, packing, pii, topk, toxicity, url_rules, vocab
+from corpuslens.llm.queries import URL_RULES, vocabulary
+from corpuslens.llm.scratch import shared_folder
+
+ODD = [None, "", " ", "a  b", " a", "a ", "x\ty", "a\n\nb", "Été, ça va?", "日本語 text", "don't", "ΣΑΣ Σ", "1234 +1 (5)", "<|endoftext|>", "w " * 3000]
+
+
+def docs(spark, texts):
+    rows = [(i, t, "extra") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, score string")
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_memo_equals_the_library(name):
+    memo = vocab.WordMemo(vocabulary(name), limit=20)
+    rng = random.Random(1)
+    texts = ODD + [" ".join(rng.choice(["the", "Haus.", "été,", "42", "foo###", "it's"]) for _ in range(30)) for _ in range(20)]
+    for _ in range(2):
+        got = memo.encode(texts)
+        for t, ids in zip(texts, got):
+            assert ids == np.array(memo.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_packing_covers_every_id_once(spark):
+    memo = vocab.WordMemo(vocabulary("byte_bpe_50k.json"))
+    rows = packing.pack(docs(spark, ODD + ODD), vocabulary("byte_bpe_50k.json"), sequence_tokens=256).collect()
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for i, t in enumerate(ODD + ODD):
+        ids, at = memo.encode([t])[0] + (1).to_bytes(4, "little"), 0
+        for r in sorted(by_doc[i], key=lambda r: r.start):
+            assert r.start == at and r.ids_crc32 == zlib.crc32(ids[4 * at : 4 * (at + r.length)]) and r.doc_tokens == len(ids) // 4
+            at += r.length
+        assert at == len(ids) // 4
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 256 and (at == 256 or at & (at - 1) == 0)
+    assert packing.pack(docs(spark, ["x"]).limit(0), vocabulary("byte_bpe_50k.json")).count() == 0
+
+
+@pytest.mark.parametrize("bits", [4, 8, 16])
+def test_codes_round_trip_and_random_access(bits):
+    ids = np.random.default_rng(bits).integers(0, 60_000, 5000).astype("<u4")
+    ids[:10] = [0, 1, 2**32 - 1, 255, 256, 65535, 65536, 15, 16, 7]
+    codes = direct_codes.Codes(direct_codes.encode_codes(ids, bits))
+    assert (codes.decode() == ids).all() and all(codes[i] == ids[i] for i in range(0, 5000, 7))
+    with pytest.raises(IndexError):
+        codes[5000]
+    assert len(direct_codes.Codes(direct_codes.encode_codes(ids[:0], bits)).decode()) == 0
+
+
+def test_token_files(spark):
+    path = shared_folder(spark, "t")
+    direct_codes.write_tokens(docs(spark, ODD), path, vocabulary("word_bpe_49k.json"), segment_tokens=50)
+    memo, at = vocab.WordMemo(vocabulary("word_bpe_49k.json")), 0
+    rows = sorted(direct_codes.read_documents(spark, path).collect())
+    every = b""
+    for r, t in zip(rows, ODD, strict=True):
+        ids = memo.encode([t])[0] + (2).to_bytes(4, "little")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) // 4, zlib.crc32(ids))
+        at, every = at + r.n_tokens, every + ids
+    asked = spark.createDataFrame([(0,), (5,), (at - 1,), (at,)], "position long")
+    want = np.frombuffer(every, "<u4")
+    assert {r.position: r.id for r in direct_codes.token_at(spark, path, asked).collect()} == {p: int(want[p]) for p in (0, 5, at - 1)}
+
+
+def brute_components(texts, width, percent):
+    sets = []
+    for t in texts:
+        words = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in (t or "").replace("\t", " ").replace("\n", " ").split(" ") if w]
+        sets.append({tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or ({tuple(words)} if words else set()))
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= percent * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    return root, [len(s) for s in sets]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = random.Random(3)
+    texts = list(ODD)
+    for _ in range(6):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.randrange(20, 120))]
+        for k in range(8):
+            copy = list(base)
+            for _ in range(k % 4):
+                copy[rng.randrange(len(copy))] = "X"
+            texts.append(" ".join(copy))
+    rows = sorted(near_dup.near_duplicates(docs(spark, texts), width=3, percent=85, widths=(3, 3)).collect())
+    root, sizes = brute_components(texts, 3, 85)
+    assert [r.component_id for r in rows] == root and [r.n_shingles for r in rows] == sizes
+    assert [r.kept for r in rows] == [r.doc_id == r.component_id for r in rows]
+    assert near_dup.near_duplicates(docs(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_language(spark):
+    en, de, ru = "the cat sat on that mat with them", "der Hund und die Katze sind nicht hier", "это просто русский текст"
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(en, "en"), (de, "de"), (ru, "ru")] * 5)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = docs(spark, [en, de, ru, None, "", "12 !?", f"{en} {en} {de}"])
+    got = {r.doc_id: r for r in language.detect(asked, model).collect()}
+    assert [got[i].lang_pred for i in range(6)] == ["en", "de", "ru", "und", "und", "und"]
+    assert [s.lang for s in got[6].spans] == ["en", "de"] and 0 < got[6].score < 1
+    assert {r.lang_pred for r in language.detect(asked, language.train(asked.withColumn("lang", F.lit(None).cast("string")))).collect()} == {"und"}
+
+
+def test_viterbi_equals_brute_force():
+    rng = np.random.default_rng(5)
+    counts = np.array([3, 0, 5, 1])
+    scores = rng.normal(size=(9, 3)).astype(np.float32) * 3
+    got, at = language.viterbi(scores, counts, 2.0), 0
+    for n in counts:
+        paths = [(sum(scores[at + i, p[i]] for i in range(n)) - 2.0 * sum(a != b for a, b in zip(p, p[1:])), p) for p in np.ndindex(*[3] * n)]
+        if n:
+            own = tuple(got[at : at + n].tolist())
+            assert max(paths)[0] == pytest.approx(dict((p, s) for s, p in paths)[own], abs=1e-4)
+        at += n
+
+
+def test_licences(spark):
+    texts = ["some prose\nLicensed under the Apache License, Version 2.0.\nmore", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "He lost his driving license.", None, ""]
+    got = {r.doc_id: r for r in license.license_documents(docs(spark, texts)).collect()}
+    assert [got[i].families for i in range(6)] == ["apache-2.0", "mit", "cc-by-nc-4.0", "unknown", "unknown", "unknown"]
+
+
+def test_top_k_equals_brute_force(spark):
+    rng = np.random.default_rng(2)
+    vectors = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 64 + 0.001]) for i in range(60)] + [(60, None), (61, [float("nan")] * 5), (62, [None] * 5)]
+    v = topk.quantized(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
+    got = sorted(topk.top_k(v, v.filter("vec_id % 10 = 0"), k=7, block_rows=9).collect())
+    whole = {i: [int(np.floor(64 * np.float64(np.float32(x)))) for x in e] for i, e in vectors[:60]}
+    want = []
+    for q in range(0, 60, 10):
+        ranked = sorted((-sum(a * b for a, b in zip(whole[q], whole[c])), c) for c in whole if c != q)[:7]
+        want += [(q, r, c, -s) for r, (s, c) in enumerate(ranked, 1)]
+    assert [tuple(r) for r in got] == want
+
+
+def test_decontamination(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    bench = spark.createDataFrame([(7, item), (8, None), (9, "")], "item_id long, text string")
+    texts = [f"x y z {item.upper()}! and more words here", "one two three four five six", None, "", "clean text of many words"]
+    assert [(r.doc_id, r.item_id, r.containment) for r in decontaminate.contaminated(docs(spark, texts), bench).collect()] == [(0, 7, 1.0)]
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs(spark, texts), bench).collect()) == [1, 2, 3, 4]
+
+
+def test_url_rules(spark):
+    urls = ["http://Example.com/en/a", "http://www.example.com/en/", "http://a.net/fr/x?y", "x", None, "http://b.com", "ftp://badexample.com/en/", "http://n.net/de/"]
+    pages = spark.createDataFrame(list(enumerate(urls)) + [(1, urls[1])], "page_id long, url string")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    got = sorted((r.page_id, r.rule, r.verdict) for r in url_rules.url_verdicts(pages, rules).collect() if r.rule)
+    assert got == [(0, "example.com/en/", "block"), (1, "www.example.com/en/", "allow"), (1, "www.example.com/en/", "allow"), (2, "net/fr/", "block"), (6, "com/", "allow")]
+
+
+def test_toxicity(spark):
+    texts = [f"plain words number {i} and such" for i in range(60)] + [f"{("they say", "some")[i % 2]} zorgling{i % 3} to word {i}" for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i >= 60)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(docs(spark, texts), labels)
+    got = {r.doc_id: r.score for r in toxicity.score(docs(spark, [texts[0], "new zorgling9 here", "you idiot!", None, ""]), model).collect()}
+    assert got[1] > 0.5 > got[0] and got[3] == got[4] < 0.5
+    plain, aimed, denied = ([(toxicity.INSULT, 2.0)], [(toxicity.TARGET, 0.0), (toxicity.INSULT, 2.0)], [(toxicity.NEGATION, 0.0), (toxicity.INSULT, 2.0)])
+    assert toxicity.clause_weight(denied) < toxicity.clause_weight(plain) < toxicity.clause_weight(aimed)
+
+
+def test_surrogates(spark):
+    key = b"k"
+    text = "Mail ann.42@mail8.example.com or call +1 (543) 555-9258, card 4349000490986231, host 67.190.110.215. Dear Mr. Smith; Anna Smith wrote ANN.42@mail8.example.com"
+    rows = pii.pseudonymize(docs(spark, [text, text, None, "", "nothing here"]), key).orderBy("doc_id").collect()
+    new = rows[0].text
+    for secret in ("ann.42", "555-9258", "4349000490986231", "67.190.110.215", "Smith", "Anna"):
+        assert secret not in new
+    assert rows[1].text == new and rows[2].text is None and [r.text for r in rows[3:]] == ["", "nothing here"]
+    spans = pii.find(new)
+    assert [s[2] for s in spans] == [s[2] for s in pii.find(text)]
+    names = [new[a:z] for a, z, k in spans if k == "surname"]
+    assert names[0] == names[1]
+    assert new[spans[0][0] : spans[0][1]].lower() == new[spans[-1][0] : spans[-1][1]].lower()
+
+
+def test_permutation_is_one():
+    seen = {tuple(pii.permute(b"k", "t", [a, b, c], [10, 5, 3])) for a in range(10) for b in range(5) for c in range(3)}
+    assert len(seen) == 150
