@@ -221,10 +221,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
         return F.array(*[F.struct(F.lit(i).alias("i"), F.get(name, i).alias("band")) for i in range(n)])
 
     crossed = F.flatten(F.transform(positions("a", counts[0]), lambda p: F.transform(positions("b", counts[1]), lambda q: F.xxhash64(p["i"], q["i"], p["band"], q["band"]))))
-    keys = classes.select("cid", F.explode(crossed).alias("key"))
+    keys = classes.select("cid", F.posexplode(crossed).alias("table", "key"))
     bucket = Window.partitionBy("key")
-    met = keys.select("cid", "key", F.min("cid").over(bucket).alias("lead"), F.max("cid").over(bucket).alias("last")).filter(F.col("lead") < F.col("last"))
-    met = stored(met.select("cid", "key", "lead"), "buckets")
+    met = keys.select("cid", "table", "key", F.min("cid").over(bucket).alias("lead"), F.max("cid").over(bucket).alias("last")).filter(F.col("lead") < F.col("last"))
+    met = stored(met.select("cid", "table", "key", "lead"), "buckets")
 
     shared = met.filter(F.col("cid") > F.col("lead")).groupBy("cid", "lead").agg(F.count("*").alias("tables"))
     star = shared.groupBy("cid").agg(F.max_by("lead", F.struct("tables", -F.col("lead"))).alias("y")).select(F.col("cid").alias("x"), "y")
@@ -251,12 +251,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
         links = links.union(more)
         roots = components(links)
 
-    placed = rooted(met.select("cid", "key"))
+    placed = rooted(met.select("cid", "table", "key"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    open_ = stored(placed.join(mixed, "key").join(shapes, "cid"), "open")
-    one, two = (open_.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("cid", "root", "n", "sketch")]) for c in "xy")
-    meet = (one["key"] == two["key"]) & (F.col("root_x") < F.col("root_y")) & _alike(percent, needed)
-    across = one.join(two, meet).select(F.col("cid_x").alias("x"), F.col("cid_y").alias("y")).distinct()
+    bands = classes.select("cid", "n", "sketch", "a", "b")
+    open_ = stored(placed.join(mixed, "key").join(bands, "cid"), "open")
+    one, two = (open_.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("cid", "root", "table", "n", "sketch", "a", "b")]) for c in "xy")
+    meet = (one["key"] == two["key"]) & (F.col("root_x") < F.col("root_y")) & (F.col("table_x") == F.col("table_y"))
+    across = one.join(two, meet & _alike(percent, needed) & _first_met(counts[1])).select(F.col("cid_x").alias("x"), F.col("cid_y").alias("y"))
     more = stored(_confirmed(across, sets, percent), "links")
     if more.limit(1).count():
         roots = components(links.union(more))
@@ -286,6 +287,20 @@ def _alike(percent: int, needed: int):
     return (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (agree >= needed)
 
 
+def _first_met(columns: int):
+    """Condition that ``table_x`` is the first table that both classes share.
+
+    A pair shares every table of a band ``a`` and a band ``b`` that it shares,
+    so the first one belongs to the first equal band of each; thus no pair is
+    made twice, and pairs need no shuffle to become distinct.
+    """
+
+    def first(k: str):
+        return F.array_position(F.zip_with(f"{k}_x", f"{k}_y", lambda p, q: p == q), True) - 1
+
+    return F.col("table_x") == first("a") * columns + first("b")
+
+
 def _likely(pairs: DataFrame, shapes: DataFrame, percent: int, needed: int) -> DataFrame:
     """Pairs that sizes and sketches leave possible."""
     x, y = (shapes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "xy")
