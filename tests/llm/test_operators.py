@@ -109,6 +109,23 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dup.near_duplicates(docs(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_open_buckets_alone_find_the_links_across(spark):
+    """Without further leaders, all links that the first one doesn't make come from the join of open buckets."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(130)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, 30, 3)]  # a chain: neighbours are linked, the ends are not
+    for _ in range(20):
+        copy = list(words[:100])
+        for at in rng.sample(range(100), rng.randrange(1, 9)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    texts += texts[:3]
+    rows = sorted(near_dup.near_duplicates(docs(spark, texts), width=3, percent=85, widths=(3, 3), orders=0).collect())
+    root, _ = brute_components(texts, 3, 85)
+    assert 1 < len(set(root)) < len(texts)
+    assert [r.component_id for r in rows] == root
+
+
 def test_language(spark):
     en, de, ru = "the cat sat on that mat with them", "der Hund und die Katze sind nicht hier", "это просто русский текст"
     rows = [(i, t, lang) for i, (t, lang) in enumerate([(en, "en"), (de, "de"), (ru, "ru")] * 5)]
