@@ -114,11 +114,23 @@ def _bands(u: np.ndarray, counts: tuple[int, int], widths: tuple[int, int]) -> t
     return tuple(out)
 
 
-BASE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, sketch array<int>, a array<long>, b array<long>"
+PARITY_WORDS = 16
+
+
+def parities(u: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set: each shingle flips one of ``64 * PARITY_WORDS`` bits.
+
+    Bitmaps of two sets differ in no more bits than the sets in shingles.
+    """
+    bits = np.bincount((u & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+BASE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, sketch array<int>, bits array<long>, a array<long>, b array<long>"
 
 
 def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tuple[int, int]) -> DataFrame:
-    """Set size, 128-bit set hash and bands of each row."""
+    """Set size, 128-bit set hash, parity bitmap and bands of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,8 +143,8 @@ def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tup
                 bands = [_bands(u, counts, widths) if len(u) else (None, None, None) for u in sets]
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(u) for u in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([x[0] for x in bands], pa.list_(pa.int32())), pa.array([x[1] for x in bands], kind), pa.array([x[2] for x in bands], kind)],
-                    names=["doc_id", "n_shingles", "h1", "h2", "sketch", "a", "b"],
+                    [part.column(0), pa.array([len(u) for u in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([x[0] for x in bands], pa.list_(pa.int32())), pa.array([parities(u) for u in sets], kind), pa.array([x[1] for x in bands], kind), pa.array([x[2] for x in bands], kind)],
+                    names=["doc_id", "n_shingles", "h1", "h2", "sketch", "bits", "a", "b"],
                 )
 
     return docs.mapInArrow(run, BASE_SCHEMA)
@@ -214,7 +226,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     base = stored(_summaries(docs, width, counts, widths), "summaries")
 
     grouped = base.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
-    classes = grouped.agg(F.min("doc_id").alias("lead_doc"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("a").alias("a"), F.first("b").alias("b"))
+    classes = grouped.agg(F.min("doc_id").alias("lead_doc"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits"), F.first("a").alias("a"), F.first("b").alias("b"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     def positions(name: str, n: int):
@@ -229,7 +241,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     shared = met.filter(F.col("cid") > F.col("lead")).groupBy("cid", "lead").agg(F.count("*").alias("tables"))
     star = shared.groupBy("cid").agg(F.max_by("lead", F.struct("tables", -F.col("lead"))).alias("y")).select(F.col("cid").alias("x"), "y")
     needed = least_agreement(percent / 100, counts[0] * widths[0] + counts[1] * widths[1], miss)
-    shapes = classes.select("cid", "n", "sketch")
+    shapes = classes.select("cid", "n", "bits", "sketch")
     wanted = met.select("cid").distinct()
     sets = stored(_sets(docs, classes.join(wanted, "cid", "left_semi"), width), "sets")
     links = stored(_confirmed(_likely(star, shapes, percent, needed), sets, percent), "links")
@@ -253,9 +265,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
 
     placed = rooted(met.select("cid", "table", "key"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    bands = classes.select("cid", "n", "sketch", "a", "b")
+    bands = classes.select("cid", "n", "bits", "sketch", "a", "b")
     open_ = stored(placed.join(mixed, "key").join(bands, "cid"), "open")
-    one, two = (open_.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("cid", "root", "table", "n", "sketch", "a", "b")]) for c in "xy")
+    one, two = (open_.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("cid", "root", "table", "n", "bits", "sketch", "a", "b")]) for c in "xy")
     meet = (one["key"] == two["key"]) & (F.col("root_x") < F.col("root_y")) & (F.col("table_x") == F.col("table_y"))
     across = one.join(two, meet & _alike(percent, needed) & _first_met(counts[1])).select(F.col("cid_x").alias("x"), F.col("cid_y").alias("y"))
     more = stored(_confirmed(across, sets, percent), "links")
@@ -282,9 +294,14 @@ def least_agreement(similarity: float, n: int, miss: float) -> int:
 
 
 def _alike(percent: int, needed: int):
-    """Condition on (n_x, sketch_x, n_y, sketch_y): sizes allow the similarity, and the sketches agree often enough."""
+    """Condition on (n, bits, sketch) of x and y: sizes and bitmaps allow the similarity, and the sketches agree often enough.
+
+    Sizes and bitmaps bound the similarity from above, so they lose no link.
+    """
+    differ = sum((F.bit_count(F.col("bits_x")[i].bitwiseXOR(F.col("bits_y")[i])) for i in range(PARITY_WORDS)), F.lit(0))
+    close = (100 + percent) * differ <= (100 - percent) * (F.col("n_x") + F.col("n_y"))
     agree = F.size(F.filter(F.zip_with("sketch_x", "sketch_y", lambda p, q: p == q), lambda e: e))
-    return (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (agree >= needed)
+    return (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & close & (agree >= needed)
 
 
 def _first_met(columns: int):
@@ -302,8 +319,8 @@ def _first_met(columns: int):
 
 
 def _likely(pairs: DataFrame, shapes: DataFrame, percent: int, needed: int) -> DataFrame:
-    """Pairs that sizes and sketches leave possible."""
-    x, y = (shapes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "xy")
+    """Pairs that sizes, bitmaps and sketches leave possible."""
+    x, y = (shapes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "xy")
     return pairs.join(x, "x").join(y, "y").filter(_alike(percent, needed)).select("x", "y")
 
 
