@@ -213,3 +213,15 @@ def test_surrogates(spark):
 def test_permutation_is_one():
     seen = {tuple(pii.permute(b"k", "t", [a, b, c], [10, 5, 3])) for a in range(10) for b in range(5) for c in range(3)}
     assert len(seen) == 150
+
+
+def test_parity_bitmaps_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n, m, shared in ((0, 3, 0), (1, 1, 1), (150, 148, 120), (3000, 2500, 2400)):
+        pool = np.unique(rng.integers(0, 2**63, n + m + 10, dtype=np.uint64))
+        u, v = pool[:n], np.concatenate([pool[:shared], pool[n : n + m - shared]])
+        differ = sum(bin(int(a) ^ int(b)).count("1") for a, b in zip(near_dup.parities(u).view(np.uint64), near_dup.parities(v).view(np.uint64)))
+        assert differ <= n + m - 2 * shared and (n + m - 2 * shared - differ) % 2 == 0
+        assert not (near_dup.parities(u) ^ near_dup.parities(u[::-1])).any()
