@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions import text as X
 from corpuslens.operators import corpus as C
 from corpuslens.operators import search as S
+from corpuslens.operators import summaries as M
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -273,3 +274,37 @@ def _(spark, sf_dir):
     p = table(spark, sf_dir, "part").select((F.col("p_partkey") % 20).cast("long").alias("page"), F.col("p_partkey").cast("int").alias("ord"))
     x, y = (F.col("ord") * 37 % 600).cast("double"), (F.col("ord") * 91 % 800).cast("double")
     return C.reading_order(p.select("page", "ord", x.alias("x0"), y.alias("y0"), (x + 40).alias("x1"), (y + 12).alias("y1")))
+
+
+@query("ocr_confidence", """SELECT round(coalesce(sum((p_partkey % 100) / 100.0::DOUBLE * (p_partkey % 7)) / nullif(sum(p_partkey % 7), 0), 0), 9) AS mean_confidence, CAST(coalesce(sum(p_partkey % 7), 0) AS BIGINT) AS regions
+FROM part WHERE p_partkey % 3 < 2 AND p_partkey % 7 > 0""")
+def _(spark, sf_dir):
+    k = F.col("p_partkey")
+    kind = F.when(k % 3 == 0, "image_ocr_text").when(k % 3 == 1, "pdf_page_ocr").otherwise("pdf_page_text")
+    return M.ocr_confidence(table(spark, sf_dir, "part").select(kind.alias("unit_type"), (k % 100 / 100.0).alias("confidence"), (k % 7).alias("regions")))
+
+
+@query("first_page_count", """WITH f AS (SELECT conv_id, 0 AS source, turn AS place, turn * 10 AS number FROM conversations WHERE (conv_id + turn) % 3 = 1
+UNION ALL SELECT conv_id, 1, turn, turn + 7 FROM conversations WHERE turn % 2 = 1)
+SELECT 'conv/' || conv_id AS path, CAST(arg_min(number, source * 1000000 + place) AS BIGINT) AS number FROM f GROUP BY conv_id""")
+def _(spark, sf_dir):
+    t = table(spark, sf_dir, "conversations").withColumn("path", F.concat(F.lit("conv/"), F.col("conv_id")))
+    kind = (F.col("conv_id") + F.col("turn")) % 3
+    metadata = F.when(kind == 1, F.format_string('{"page_count": %d}', F.col("turn") * 10)).when(kind == 2, '{"page_count": "5"}').otherwise('{"page_count": true}')
+    issues = t.select("path", F.col("turn").alias("issue_index"), F.when(F.col("turn") % 2 == 1, F.format_string('{"page_count": %d}', F.col("turn") + 7)).alias("metadata"))
+    return M.first_number(t.select("path", F.col("turn").alias("unit_index"), metadata.alias("metadata")), issues, "page_count")
+
+
+@query("extraction_summary", """WITH f AS (SELECT page_id, html, CASE page_id % 4 WHEN 0 THEN '.txt' WHEN 1 THEN '.md' WHEN 2 THEN '.pdf' ELSE '' END AS suffix, CASE page_id % 4 WHEN 0 THEN 'plain_text' WHEN 1 THEN 'markdown' END AS parser, page_id % 11 = 0 AS failed FROM pages),
+d AS (SELECT * FROM f WHERE parser IS NOT NULL AND NOT failed)
+SELECT 'discovered_files' AS measure, '' AS key, count(*) AS n FROM f UNION ALL SELECT 'supported_files', '', count(parser) FROM f UNION ALL SELECT 'succeeded_files', '', count(*) FROM d
+UNION ALL SELECT 'failed_files', '', count(*) FROM f WHERE parser IS NOT NULL AND failed UNION ALL SELECT 'unsupported_files', '', count(*) FROM f WHERE parser IS NULL
+UNION ALL SELECT 'total_units', '', count(*) FROM d UNION ALL SELECT 'total_characters', '', CAST(coalesce(sum(length(html)), 0) AS BIGINT) FROM d UNION ALL SELECT 'total_issues', '', count(*) FROM d WHERE page_id % 5 = 0
+UNION ALL SELECT 'by_parser', parser, count(*) FROM d GROUP BY 2 UNION ALL SELECT 'by_suffix', suffix, count(*) FROM f GROUP BY 2 UNION ALL SELECT 'issues_by_type', 'empty_document', count(*) FROM d WHERE page_id % 5 = 0 HAVING count(*) > 0""")
+def _(spark, sf_dir):
+    k = F.col("page_id")
+    suffix = F.when(k % 4 == 0, ".txt").when(k % 4 == 1, ".md").when(k % 4 == 2, ".PDF").otherwise("")
+    parser = F.when(k % 4 == 0, "plain_text").when(k % 4 == 1, "markdown")
+    files = table(spark, sf_dir, "pages").select("page_id", "html", F.concat(F.lit("p/"), k, suffix).alias("path"), parser.alias("parser"), (k % 11 == 0).alias("failed"))
+    done = files.filter(F.col("parser").isNotNull() & ~F.col("failed"))
+    return M.extraction_summary(files, done.select(F.col("html").alias("text")), done.filter(k % 5 == 0).select(F.lit("empty_document").alias("issue_type")))

@@ -115,3 +115,19 @@ def test_entry_imports_without_the_optional_parts(monkeypatch):
     monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name == "corpuslens.llm" else found(name, *a))
     assert not any(n.startswith("op") and n[2].isdigit() for n in entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_summaries_of_empty_and_odd_input(spark):
+    from corpuslens.operators import summaries
+
+    units = spark.createDataFrame([("image_ocr_text", 0.5, 3), ("pdf_page_ocr", 1.0, 1), ("pdf_page_ocr", None, 9), ("image_ocr_text", 0.9, 0), ("plain_text", 0.1, 50)], "unit_type string, confidence double, regions int")
+    assert tuple(summaries.ocr_confidence(units).first()) == (0.625, 4)
+    assert tuple(summaries.ocr_confidence(units.limit(0)).first()) == (0.0, 0)
+    rows = [("a", 0, '{"n": true}'), ("a", 1, '{"n": 4}'), ("a", 2, '{"n": 5}'), ("b", 0, '{"n": "7"}'), ("c", 0, "broken"), ("c", 1, None), ("d", 0, '{"n": 1.5}')]
+    frame = spark.createDataFrame(rows, "path string, unit_index int, metadata string")
+    issues = spark.createDataFrame([("a", 0, '{"n": 9}'), ("b", 3, '{"n": 8}')], "path string, issue_index int, metadata string")
+    assert sorted(map(tuple, summaries.first_number(frame, issues, "n").collect())) == [("a", 4), ("b", 8)]
+    files = spark.createDataFrame([("x.TXT", "plain_text", None), ("y", None, True)], "path string, parser string, failed boolean")
+    none = spark.createDataFrame([], "text string, issue_type string")
+    got = {(r.measure, r.key): r.n for r in summaries.extraction_summary(files, none, none).collect()}
+    assert got == {("discovered_files", ""): 2, ("supported_files", ""): 1, ("succeeded_files", ""): 1, ("failed_files", ""): 0, ("unsupported_files", ""): 1, ("total_units", ""): 0, ("total_characters", ""): 0, ("total_issues", ""): 0, ("by_parser", "plain_text"): 1, ("by_suffix", ".txt"): 1, ("by_suffix", ""): 1}
