@@ -142,6 +142,14 @@ def _(spark, sf_dir):
     return S.evaluation_summary(_evaluated(spark, sf_dir))
 
 
+@query("eval_summary_by_type", EVAL.replace("rank <= 25", "rank <= 50") + """ SELECT CASE query % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'natural' ELSE 'identifier' END AS query_type, count(*) AS queries, count(*) FILTER (auto) AS auto_queries,
+coalesce(avg(hit_at_1::INT), 0.0) AS rate_at_1, coalesce(avg(hit_at_3::INT), 0.0) AS rate_at_3, coalesce(avg(hit_at_5::INT), 0.0) AS rate_at_5, coalesce(avg(hit_at_10::INT), 0.0) AS rate_at_10,
+round(coalesce(avg(reciprocal_rank), 0.0), 9) AS mrr FROM flags GROUP BY 1""")
+def _(spark, sf_dir):
+    kind = F.when(F.col("query") % 3 == 0, "exact").when(F.col("query") % 3 == 1, "natural").otherwise("identifier")
+    return S.evaluation_summary(_evaluated(spark, sf_dir).withColumn("query_type", kind), "query_type")
+
+
 CHUNKS = r"""WITH RECURSIVE cut(doc_id, text, s, e) AS (
   SELECT doc_id, text, 0::BIGINT, NULL::BIGINT FROM documents WHERE text <> ''
   UNION ALL
