@@ -54,7 +54,7 @@ TEMPLATES = {
     "cc-by-sa-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
     "cc-by-nc-4.0": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."],
     "cc0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Dedicated to the public domain under CC0 1.0 Universal."],
-    "proprietary": ["All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form without the prior written permission of the publisher.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
+    "proprietary": ["All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form without the prior written permission of the publisher.", "All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
 OTHERS = [
     "He lost his driving license after the accident and applied for a new one at the public office.",

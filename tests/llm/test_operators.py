@@ -156,6 +156,13 @@ def test_licences(spark):
     assert [got[i].families for i in range(6)] == ["apache-2.0", "mit", "cc-by-nc-4.0", "unknown", "unknown", "unknown"]
 
 
+def test_every_short_notice_in_both_cases(spark):
+    notices = {"This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "All rights reserved.": "proprietary", "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2.0"}
+    texts = [f"some prose\n{n}\nmore of it" for n in notices]
+    got = {r.doc_id: r.families for r in license.license_documents(docs(spark, texts + [t.upper() for t in texts] + ["All seats were reserved by right."])).collect()}
+    assert [got[i] for i in range(11)] == [*notices.values(), *notices.values(), "unknown"]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 64 + 0.001]) for i in range(60)] + [(60, None), (61, [float("nan")] * 5), (62, [None] * 5)]
