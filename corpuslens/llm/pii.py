@@ -9,7 +9,7 @@ an entity gets the same one, on any executor and without a shared table.
 
 A permutation may still hit a value that the corpus itself contains.  Such
 entities are found by a join of all surrogates with all originals and take the
-next permutation until none is left.
+next permutation until none is left; short values grow if their format is full.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ GIVEN = {
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Señora Sr Sra Господин Госпожа Κύριος Κυρία".split()
 CLASSES = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àâáäéèêëíîïóôöúûüù", "çñß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αειουηω", "βγδζθκλμνξπρστφχψ"]
 HEX = "0123456789abcdef"
+WIDEN = 12
 RESERVED_DOMAINS = (".example.com", ".example.org", ".example.net", ".test", ".invalid", "@example.com", "@example.org", "@example.net")
 
 _NAME = r"[^\W\d_][^\W\d_]+(?:[-'’][^\W\d_]+)*"
@@ -155,8 +156,19 @@ def _ip_class(parts: list[int]) -> int:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """Surrogate of a canonical value; ``attempt`` chooses the permutation."""
+    """Surrogate of a canonical value; ``attempt`` chooses the permutation.
+
+    After ``WIDEN`` attempts e-mails, surnames and secrets grow by a character an
+    attempt, as short ones may leave no free value of their own length.
+    """
     tweak = f"{kind}|{attempt}"
+    if kind in ("email", "surname", "secret"):
+        local, at, domain = value.partition("@") if kind == "email" else (value, "", "")
+        own = next((k for c in local for k in CLASSES if c.lower() in k), "")
+        if not own:  # nothing that could be replaced, as in ******
+            n = _round(key, f"{tweak}|{local}", 0)
+            local = "".join(CLASSES[2][(n >> 8 * i) % 20] + CLASSES[1][(n >> 8 * i) % 5] for i in range(max(2, min(32, len(local) // 2))))
+        value = local + (own or CLASSES[1])[0] * max(0, attempt - WIDEN) + at + domain
     if kind == "given":
         group = _GIVEN[value]
         ranked = sorted(GIVEN[group], key=lambda n: _round(key, f"{tweak}|{n}", 0))
@@ -202,7 +214,8 @@ def rewrite(key: bytes, text: str, attempts: dict[str, int]) -> tuple[str, list[
             chars = iter(new)
             new = "".join(next(chars) if c.isalnum() else c for c in mention)
         elif kind in ("email", "surname"):
-            new = "".join(n.upper() if m.isupper() else n for n, m in zip(new, mention)) + new[len(mention) :]
+            rest = new[len(mention) :]
+            new = "".join(n.upper() if m.isupper() else n for n, m in zip(new, mention)) + (rest.upper() if mention[-1:].isupper() else rest)
         out += [text[end:a], new]
         kinds.append(kind)
         end = z
@@ -220,8 +233,14 @@ def entities(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "kind string, value string").distinct()
 
 
-def collisions(docs: DataFrame, key: bytes, *, rounds: int = 20) -> DataFrame:
-    """``entity, attempt`` of entities whose first surrogate is an original of the corpus or another's surrogate."""
+def collisions(docs: DataFrame, key: bytes, *, rounds: int = 200) -> DataFrame:
+    """``entity, attempt`` of entities whose first surrogate is an original of the corpus or another's surrogate.
+
+    A retry must differ from every original, from all first surrogates and from
+    the retries already settled; of equal ones of a round the least value keeps
+    it.  Goes on until none collides, and raises ``ValueError`` if some still do
+    after ``rounds``: their format has too few values.
+    """
 
     def invent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,22 +250,28 @@ def collisions(docs: DataFrame, key: bytes, *, rounds: int = 20) -> DataFrame:
     # A given name's surrogates are the given names themselves; only their order is secret.
     known = stored(entities(docs).filter("kind <> 'given'"), "entities")
     originals = known.select("kind", F.col("value").alias("made"))
-    tries = known.select("kind", "value", F.lit(0).alias("attempt"))
+    schema = "kind string, value string, attempt int, made string"
+    first = stored(known.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(invent, schema), "first")
+    twice = first.groupBy("kind", "made").agg(F.count("*").alias("n"), F.min("value").alias("least")).filter("n > 1")
+    twice = first.join(twice, ["kind", "made"]).filter(F.col("value") > F.col("least"))
+    bad = first.join(originals, ["kind", "made"], "left_semi").select("kind", "value", "attempt").union(twice.select("kind", "value", "attempt"))
+    bad = stored(bad.distinct(), "collisions")
+    taken = originals.union(first.select("kind", "made"))
     settled = None
     for _ in range(rounds):
-        made = tries.mapInArrow(invent, "kind string, value string, attempt int, made string")
-        bad = made.join(originals, ["kind", "made"], "left_semi")
-        if settled is not None:  # against surrogates of all others, and of each other
-            first = known.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(invent, "kind string, value string, attempt int, made string")
-            others = first.select("kind", "made", F.col("value").alias("other")).union(settled.select("kind", "made", F.col("value").alias("other"))).union(made.select("kind", "made", F.col("value").alias("other")))
-            hit = made.join(others, ["kind", "made"]).filter(F.col("value") > F.col("other")).select("kind", "value")
-            bad = made.join(bad.select("kind", "value").union(hit).distinct(), ["kind", "value"], "left_semi")
-        bad = stored(bad.select("kind", "value", "attempt"), "collisions")
-        good = made.join(bad, ["kind", "value"], "left_anti").filter("attempt > 0")
-        settled = stored(good if settled is None else settled.union(good.select(*settled.columns)), "settled")
         if not bad.limit(1).count():
             break
-        tries = bad.withColumn("attempt", F.col("attempt") + 1)
+        made = stored(bad.withColumn("attempt", F.col("attempt") + 1).mapInArrow(invent, schema), "made")
+        free = made.join(taken, ["kind", "made"], "left_anti")
+        if settled is not None:
+            free = free.join(settled.select("kind", "made"), ["kind", "made"], "left_anti")
+        good = free.groupBy("kind", "made").agg(F.min_by("attempt", "value").alias("attempt"), F.min("value").alias("value")).select(*made.columns)
+        settled = stored(good if settled is None else settled.union(good), "settled")
+        bad = stored(made.join(settled, ["kind", "value"], "left_anti").select("kind", "value", "attempt"), "collisions")
+    else:
+        if left := bad.groupBy("kind").count().collect():
+            raise ValueError(f"no free surrogates after {rounds} rounds: {', '.join(f'{r["count"]} of kind {r.kind}' for r in left)}")
+    settled = first.limit(0) if settled is None else settled
     return settled.select(F.concat_ws("\t", "kind", "value").alias("entity"), "attempt")
 
 

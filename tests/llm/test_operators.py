@@ -217,6 +217,19 @@ def test_surrogates(spark):
     assert new[spans[0][0] : spans[0][1]].lower() == new[spans[-1][0] : spans[-1][1]].lower()
 
 
+def test_crowded_formats_keep_identities_apart(spark):
+    rng = random.Random(4)
+    every = [f"{c}{v}.{n}@example.com" for c in "bcdfghjklmnpqrstvwxyz" for v in "aeiou" for n in range(10)]
+    mails = rng.sample(every, 500) + [f"{v}@example.com" for v in "aeiou"]
+    texts = mails + ["password=******", "IBAN DE11 3704 0044 0532 0130 00", "IBAN DE12 3704 0044 0532 0130 00"]
+    for key in (b"a",):
+        made = [r.text for r in pii.pseudonymize(docs(spark, texts), key).orderBy("doc_id").collect()]
+        assert len(set(made)) == len(texts) and not set(made) & set(texts)
+        assert all(m.endswith("@example.com") for m in made[: len(mails)])
+    with pytest.raises(ValueError):
+        pii.collisions(docs(spark, mails), b"a", rounds=1)
+
+
 def test_permutation_is_one():
     seen = {tuple(pii.permute(b"k", "t", [a, b, c], [10, 5, 3])) for a in range(10) for b in range(5) for c in range(3)}
     assert len(seen) == 150
