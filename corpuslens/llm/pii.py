@@ -43,7 +43,8 @@ _NAME = r"[^\W\d_][^\W\d_]+(?:[-'’][^\W\d_]+)*"
 _NUMBERS = re.compile(
     r"(?P<email>[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})"
     r"|(?P<key>\bAKIA[0-9A-Z]{16}\b)"
-    r"|(?P<secret>(?<=password=)[^\s\"',;]{6,}|(?<=token = \")[0-9A-Za-z_-]{16,}|(?<=token=)[0-9A-Za-z_-]{16,}|(?<=secret=)[^\s\"',;]{6,}|(?<=api_key=)[^\s\"',;]{6,})"
+    r"|(?i:(?:password|secret|api[_ -]?key|(?P<long>token))[\"']?\s*(?:=>|:=|[=:])\s*)(?P<quote>[\"'])?(?!AKIA[0-9A-Z]{16}\b)"
+    r"(?P<secret>(?(long)[^\s\"',;&<>()]{15,}[\w/+=-]|(?(quote)[^\"'\n]{6,}|[^\s\"',;]{6,})))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
@@ -55,7 +56,7 @@ _NAMES = re.compile(
     rf"\b(?:(?:{'|'.join(TITLES)})\.?(?P<gap>[  ])(?:(?P<g1>{'|'.join(map(re.escape, _GIVEN))})(?P<gap1>[  ]))?(?P<s1>{_NAME})"
     rf"|(?P<g2>{'|'.join(map(re.escape, _GIVEN))})(?P<gap2>[  ])(?P<s2>{_NAME}))"
 )
-_DIGIT = re.compile(r"\d|@|password|secret|api_key|token")
+_DIGIT = re.compile(r"\d|@|(?i:password|secret|api[_ -]?key|token)")
 
 
 def _upper(word: str) -> bool:
@@ -69,7 +70,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
     """
     spans = []
     if _DIGIT.search(text):
-        spans = [(m.start(), m.end(), m.lastgroup) for m in _NUMBERS.finditer(text)]
+        spans = [(*m.span(m.lastgroup), m.lastgroup) for m in _NUMBERS.finditer(text)]
     for m in _NAMES.finditer(text):
         part = "1" if m["s1"] else "2"
         if _upper(m[f"s{part}"]):
@@ -198,8 +199,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return value[:lead] + _shaped(key, tweak, value[lead:], CLASSES)
     if kind == "key":
         return value[:4] + _shaped(key, tweak, value[4:], CLASSES)
-    if kind == "secret" and set(value) <= set(HEX):
-        return _shaped(key, tweak, value, [HEX])
+    if kind == "secret" and value in (value.lower(), value.upper()) and set(value.lower()) <= set(HEX):
+        return _shaped(key, tweak, value, [HEX]) if value == value.lower() else _shaped(key, f"{tweak}|upper", value.lower(), [HEX]).upper()
     return _shaped(key, tweak, value, CLASSES)
 
 

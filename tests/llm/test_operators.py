@@ -230,6 +230,17 @@ def test_crowded_formats_keep_identities_apart(spark):
         pii.collisions(docs(spark, mails), b"a", rounds=1)
 
 
+@pytest.mark.parametrize("text", ['TOKEN = "9233A8EC0B1D4F5E6A7B8C9D0E1F2A3B4C5D6E7F"', "token = '9233a8ec0b1d4f5e6a7b8c9d0e1f2a3b4c5d6e7f'", "Token: 9233A8EC0B1D4F5E6A7B8C9D0E1F2A3B4C5D6E7F", "password: hunter22", "Api_Key = k3y-value", '{"SECRET":"a,bcd efg"}', "PASSWORD=HUNTER22"])
+def test_secrets_behind_any_form_of_key(text):
+    [(a, z, kind)] = pii.find(text)
+    new, kinds = pii.rewrite(b"k", text, {})
+    value = text[a:z]
+    assert kinds == [kind] == ["secret"] and (value in ("hunter22", "HUNTER22", "k3y-value", "a,bcd efg") or len(value) == 40)
+    assert new[:a] == text[:a] and new[z:] == text[z:] and value not in new
+    if len(value) == 40:
+        assert set(new[a:z]) <= set("0123456789ABCDEF" if value.isupper() else "0123456789abcdef")
+
+
 def test_permutation_is_one():
     seen = {tuple(pii.permute(b"k", "t", [a, b, c], [10, 5, 3])) for a in range(10) for b in range(5) for c in range(3)}
     assert len(seen) == 150
