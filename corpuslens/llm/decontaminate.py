@@ -3,7 +3,7 @@
 Words are maximal runs of letters and digits, lower-cased; a text's set is its
 distinct shingles of ``width`` words (a shorter text is one shingle).  A short
 item inside a long document has a tiny Jaccard similarity, so documents are
-partitioned by the power of two above their number of shingles and keep a
+partitioned by the power of two above their number of distinct shingles and keep a
 bottom-k MinHash sketch whose ``k`` is a fixed share of that bound: the share,
 and not the document's length, decides whether the small hashes of an item that
 it contains are in its sketch.  An item probes with its own smallest hashes.
@@ -61,7 +61,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 5, thres
     share = 1 - miss ** (1 / math.ceil(threshold * smallest))
     probe = items.select("item_id", F.explode(F.slice(F.sort_array("item_set"), 1, probes)).alias("hash"))
 
-    sets = docs.filter(F.col("text").isNotNull()).select("doc_id", F.sort_array(shingles(F.col("text"), width)).alias("sorted"))
+    sets = docs.filter(F.col("text").isNotNull()).select("doc_id", F.sort_array(F.array_distinct(shingles(F.col("text"), width))).alias("sorted"))
     bound = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.size("sorted"), F.lit(1))))).cast("int")
     k = F.greatest(F.ceil(bound * share), F.lit(shortest)).cast("int")
     sketch = sets.select("doc_id", F.explode(F.slice("sorted", F.lit(1), k)).alias("hash"))

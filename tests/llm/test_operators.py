@@ -184,6 +184,16 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in decontaminate.decontaminate(docs(spark, texts), bench).collect()) == [1, 2, 3, 4]
 
 
+def test_decontamination_of_repetitive_documents(spark):
+    """Copies of few shingles must not fill the sketch in place of the item's hashes."""
+    rng = random.Random(8)
+    items = [" ".join(f"q{rng.randrange(10**6)}" for _ in range(15)) for _ in range(100)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"{'again ' * 900}{item} {' '.join(f'z{rng.randrange(10**6)}' for _ in range(20))}" for item in items for _ in range(10)]
+    got = decontaminate.contaminated(docs(spark, texts), bench)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i // 10) for i in range(1000)]
+
+
 def test_url_rules(spark):
     urls = ["http://Example.com/en/a", "http://www.example.com/en/", "http://a.net/fr/x?y", "x", None, "http://b.com", "ftp://badexample.com/en/", "http://n.net/de/"]
     pages = spark.createDataFrame(list(enumerate(urls)) + [(1, urls[1])], "page_id long, url string")
