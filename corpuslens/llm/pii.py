@@ -66,18 +66,29 @@ def _upper(word: str) -> bool:
 def find(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) of the entities of a text, in order and without overlap.
 
-    Kinds: email, key, secret, iban, ip, ssn, card, phone, given, surname.
+    Kinds: email, key, secret, iban, ip, ssn, card, phone, given, surname.  A
+    name found anywhere in the text is found wherever it stands capitalised.
     """
     spans = []
     if _DIGIT.search(text):
         spans = [(*m.span(m.lastgroup), m.lastgroup) for m in _NUMBERS.finditer(text)]
+    people = []
     for m in _NAMES.finditer(text):
         part = "1" if m["s1"] else "2"
         if _upper(m[f"s{part}"]):
             if m[f"g{part}"]:
-                spans.append((*m.span(f"g{part}"), "given"))
-            spans.append((*m.span(f"s{part}"), "surname"))
-    spans.sort()
+                people.append((*m.span(f"g{part}"), "given"))
+            a, z = m.span(f"s{part}")
+            people.append((a, z - 2 if text[z - 2 : z] in ("'s", "’s") and z - a > 3 else z, "surname"))
+    if people:
+        # A name that serves as both is a given name only where it was found as one.
+        known = {text[a:z].lower(): k for a, z, k in sorted(people, key=lambda p: p[2])}
+        for m in re.finditer(rf"(?i)(?<![^\W_])(?:{'|'.join(map(re.escape, sorted(known, key=lambda n: (-len(n), n))))})(?![^\W_])", text):
+            if _upper(m[0]) and m[0].lower() in known:
+                people.append((*m.span(), known[m[0].lower()]))
+        taken = {p[:2]: p for p in reversed(people)}  # the first finding of a place counts
+        spans += taken.values()
+    spans.sort(key=lambda s: (s[0], -s[1]))
     out, end = [], 0
     for s in spans:
         if s[0] >= end:
@@ -92,6 +103,8 @@ def canonical(kind: str, mention: str) -> str:
         return re.sub(r"\D", "", mention)
     if kind == "iban":
         return mention.replace(" ", "")
+    if kind == "given" and mention not in _GIVEN:  # in capitals
+        return next((n for n in _GIVEN if n.lower() == mention.lower()), mention)
     return mention.lower() if kind in ("email", "surname") else mention
 
 
@@ -217,6 +230,8 @@ def rewrite(key: bytes, text: str, attempts: dict[str, int]) -> tuple[str, list[
         elif kind in ("email", "surname"):
             rest = new[len(mention) :]
             new = "".join(n.upper() if m.isupper() else n for n, m in zip(new, mention)) + (rest.upper() if mention[-1:].isupper() else rest)
+        elif kind == "given" and mention.isupper():
+            new = new.upper()
         out += [text[end:a], new]
         kinds.append(kind)
         end = z

@@ -251,6 +251,16 @@ def test_secrets_behind_any_form_of_key(text):
         assert set(new[a:z]) <= set("0123456789ABCDEF" if value.isupper() else "0123456789abcdef")
 
 
+def test_later_mentions_of_a_person():
+    text = "Anna Smith wrote. Smith's reply: Anna, ANNA and SMITH agree; Mrs. Lee-Jones's friend met Lee-Jones, smith@web.test and a smith."
+    new, kinds = pii.rewrite(b"k", text, {})
+    assert kinds == ["given", "surname", "surname", "given", "given", "surname", "surname", "surname", "email"]
+    given, surname = (pii.surrogate(b"k", k, v) for k, v in (("given", "Anna"), ("surname", "smith")))
+    lee = new.split("Mrs. ")[1].split("'s")[0]
+    assert new.startswith(f"{given} {surname.title()} wrote. {surname.title()}'s reply: {given}, {given.upper()} and {surname.upper()} agree; Mrs. {lee}'s friend met {lee}, ")
+    assert new.endswith(" and a smith.") and not any(n in new for n in ("Anna", "ANNA", "Smith", "SMITH", "Lee"))
+
+
 def test_permutation_is_one():
     seen = {tuple(pii.permute(b"k", "t", [a, b, c], [10, 5, 3])) for a in range(10) for b in range(5) for c in range(3)}
     assert len(seen) == 150
