@@ -5,10 +5,12 @@ is trained on cuts of the licence templates below, against paragraphs that use
 similar words for other things; the latter and random mixtures set the bias of
 the ``unknown`` class, so that a paragraph needs several families' words to leave
 it.  A predicted family stands only where a template of that family shares
-enough bigrams with the paragraph.
+enough bigrams with the paragraph.  Paragraphs are single lines, and stretches of
+several lines where a template's bigrams stand close together: wrapped notices.
 
 The model, a few thousand weights, is trained on the driver from the templates
-alone.  Documents are scored with DataFrame functions only: n-grams are hashed,
+alone.  Documents without any of a few words, one of which every confirmed notice
+has, are left out at first.  The others are scored with DataFrame functions only: n-grams are hashed,
 met with the weights in an equi-join, and summed by paragraph.  N-grams of
 common words carry no weight, so nearly all rows end in that join.
 """
@@ -19,9 +21,11 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuslens.llm.scratch import stored
+
 UNKNOWN = "unknown"
 # Notices of public licences, and look-alike paragraphs (fixed values).
 TEMPLATES = {
@@ -137,25 +141,64 @@ def _model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, list[str],
         for n, notice in enumerate(notices):
             words = tokens(notice)
             pairs = set(zip(words, words[1:]))
-            shapes += [(f, n, len(pairs), a, b) for a, b in pairs]
-    shape = spark.createDataFrame(shapes, "family string, notice int, pairs int, a string, b string")
-    return table, shape.select("family", "notice", "pairs", F.xxhash64("a", "b").alias("gram")), families, bias
+            shapes += [(f, n, len(pairs), 2 * len(words), a, b) for a, b in pairs]
+    shape = spark.createDataFrame(shapes, "family string, notice int, pairs int, span int, a string, b string")
+    return table, shape.select("family", "notice", "pairs", "span", F.xxhash64("a", "b").alias("gram")), families, bias
+
+
+def anchors(shared: float) -> list[str]:
+    """Words of which a text has at least one if it has ``shared`` of the bigrams of any notice."""
+    open_ = [set(zip(w, w[1:])) for notices in TEMPLATES.values() for w in map(tokens, notices)]
+    whole = [len(pairs) for pairs in open_]
+    chosen = []
+    while rest := [p for p, n in zip(open_, whole) if len(p) >= shared * n and p]:
+        gain = {}
+        for pairs in rest:
+            for pair in pairs:
+                for w in set(pair):
+                    gain[w] = gain.get(w, 0) + 1
+        chosen.append(max(sorted(gain), key=lambda w: (w not in STOP, gain[w])))
+        open_ = [{p for p in pairs if chosen[-1] not in p} for pairs in open_]
+    return chosen
+
+
+def _words(line: Column) -> Column:
+    return F.filter(F.split(F.lower(line), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def _stretches(texts: DataFrame, shape: DataFrame, shared: float) -> DataFrame:
+    """Stretches over several lines, of up to twice a notice's words, with enough of its bigrams."""
+    where = ["doc_id", "version"]
+    flat = F.flatten(F.transform(F.split("text", "\n"), lambda line, i: F.transform(_words(line), lambda w: F.struct(i.alias("line"), w.alias("word")))))
+    flat = texts.select(*where, flat.alias("flat")).filter(F.size("flat") > 1)
+    both = F.zip_with(F.slice("flat", F.lit(1), F.size("flat") - 1), F.slice("flat", F.lit(2), F.size("flat") - 1), lambda x, y: F.struct(x["line"].alias("line"), y["line"].alias("last"), F.xxhash64(x["word"], y["word"]).alias("gram")))
+    met = flat.select(*where, F.posexplode(both).alias("first", "pair")).select(*where, "first", "pair.*").join(F.broadcast(shape), "gram")
+    near = Window.partitionBy(*where, "family", "notice").orderBy(F.floor(F.col("first") * 1000 / F.col("span"))).rangeBetween(0, 1000)
+    met = met.select(*where, "first", "line", "pairs", F.size(F.collect_set("gram").over(near)).alias("n"), F.max("first").over(near).alias("stop"), F.max("last").over(near).alias("last"))
+    met = met.filter((F.col("n") >= F.lit(shared) * F.col("pairs")) & (F.col("last") > F.col("line"))).select(*where, F.col("line").alias("paragraph"), "first", (F.col("stop") + 2).alias("stop"), "last").distinct()
+    return met.join(flat, where).select(*met.columns, F.slice(F.col("flat.word"), F.col("first") + 1, F.col("stop") - F.col("first")).alias("words"))
 
 
 def license_paragraphs(docs: DataFrame, *, probability: float = 0.5, shared: float = 0.6) -> DataFrame:
     """``doc_id, paragraph, family, probability, similarity`` of confirmed licence paragraphs.
 
-    A paragraph is a line of the text, counted from 0.  ``similarity`` is the
-    largest share of one notice's bigrams that the paragraph has; ``shared`` of
-    them confirm the family.  Null and empty texts have no paragraphs; rows with
-    one doc_id are read as one document's paragraphs only if their texts agree.
+    A paragraph is a line of the text, counted from 0, or a stretch of words over
+    several lines, named by its first one; stretches of one family that overlap
+    are one paragraph, and none if a line of theirs is confirmed by itself.
+    ``similarity`` is the largest share of one notice's bigrams that the
+    paragraph has; ``shared`` of them confirm the family.  Null and empty texts
+    have no paragraphs; rows with one doc_id are read as one document's
+    paragraphs only if their texts agree.
     """
     table, shape, families, bias = _model_tables(docs.sparkSession)
-    paragraphs = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    words = F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "")
-    hashed = paragraphs.select("doc_id", "version", "paragraph", _hashed(words).alias("grams"))
-    seen = hashed.select("doc_id", "version", "paragraph", F.explode("grams").alias("gram"))
-    where = ["doc_id", "version", "paragraph"]
+    texts = docs.filter(F.lower("text").rlike(f"(?<![a-z0-9])(?:{'|'.join(anchors(shared))})(?![a-z0-9])"))
+    texts = stored(texts.select("doc_id", F.xxhash64("text").alias("version"), "text").dropDuplicates(["doc_id", "version"]), "anchored")
+    none = F.lit(-1)
+    lines = texts.select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
+    lines = lines.select("doc_id", "version", "paragraph", none.alias("first"), none.alias("stop"), F.col("paragraph").alias("last"), _words(F.col("line")).alias("words"))
+    where = ["doc_id", "version", "paragraph", "first", "stop", "last"]
+    units = lines.union(_stretches(texts, shape, shared)).select(*where, _hashed(F.col("words")).alias("grams"))
+    seen = units.select(*where, F.explode("grams").alias("gram"))
     sums = seen.join(F.broadcast(table), "gram").groupBy(*where).agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(families))])
     logits = [F.col(f"w{i}") + F.lit(float(bias[i])) for i in range(len(families))]
     total = F.lit(1.0)
@@ -164,18 +207,37 @@ def license_paragraphs(docs: DataFrame, *, probability: float = 0.5, shared: flo
     best = F.greatest(*[F.struct(z.alias("z"), F.lit(f).alias("family")) for z, f in zip(logits, families)])
     judged = sums.select(*where, best.alias("best"), total.alias("total")).select(*where, "best.family", (F.exp(F.least(F.col("best.z"), F.lit(500.0))) / F.col("total")).alias("probability"))
     judged = judged.filter(F.col("probability") >= probability)
-    return _confirm(docs, judged, shape, where, shared)
+    found = stored(_confirm(seen, judged, shape, where, shared), "confirmed")
+    return _apart(found).select("doc_id", "paragraph", "family", "probability", "similarity")
 
 
-def _confirm(docs: DataFrame, judged: DataFrame, shape: DataFrame, where: list[str], shared: float) -> DataFrame:
+def _confirm(seen: DataFrame, judged: DataFrame, shape: DataFrame, where: list[str], shared: float) -> DataFrame:
     """Keep predictions whose family has a notice with enough of its bigrams in the paragraph."""
-    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("version"), "text")
-    lines = texts.dropDuplicates(["doc_id", "version"]).join(judged, ["doc_id", "version"]).select(*where, "family", "probability", F.get(F.split("text", "\n"), F.col("paragraph")).alias("line"))
-    words = F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "")
-    seen = lines.select(*where, "family", "probability", F.explode(_hashed(words)).alias("gram"))
-    met = seen.join(F.broadcast(shape), ["family", "gram"]).groupBy(*where, "family", "probability", "notice", "pairs").agg((F.count("*") / F.col("pairs")).alias("share"))
-    found = met.groupBy(*where, "family", "probability").agg(F.max("share").alias("similarity")).filter(F.col("similarity") >= shared)
-    return found.select("doc_id", "paragraph", "family", "probability", "similarity")
+    met = seen.join(judged, where).join(F.broadcast(shape), ["family", "gram"]).groupBy(*where, "family", "probability", "notice", "pairs").agg((F.count("*") / F.col("pairs")).alias("share"), F.count("*").alias("hits"))
+    return met.groupBy(*where, "family", "probability").agg(F.max("share").alias("similarity"), F.max("hits").alias("hits")).filter(F.col("similarity") >= shared)
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """Confirmed lines, and the best of overlapping stretches that hold no confirmed line of their family.
+
+    A stretch that lies by more than half in one of another family with more
+    shared bigrams is a part of that notice.
+    """
+    one = found.filter("first < 0")
+    key = ["doc_id", "version", "family"]
+    a, b = found.filter("first >= 0").alias("a"), one.select(*key, "paragraph").alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in key]
+    wrapped = a.join(b, [*same, F.col("b.paragraph").between(F.col("a.paragraph"), F.col("a.last"))], "left_anti")
+    before = Window.partitionBy(*key).orderBy("first", "stop")
+    wrapped = wrapped.withColumn("new", (F.col("first") >= F.coalesce(F.max("stop").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).cast("int"))
+    wrapped = wrapped.withColumn("part", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    names = [c for c in found.columns if c not in key]
+    wrapped = wrapped.groupBy(*key, "part").agg(F.max_by(F.struct(*names), F.struct("similarity", -F.col("first"))).alias("best")).select(*key, "best.*")
+    wrapped = stored(wrapped, "wrapped")
+    a, b = wrapped.alias("a"), wrapped.alias("b")
+    inside = 2 * (F.least("a.stop", "b.stop") - F.greatest("a.first", "b.first")) > F.col("a.stop") - F.col("a.first")
+    wrapped = a.join(b, [*same[:2], F.col("a.family") != F.col("b.family"), F.col("a.hits") < F.col("b.hits"), inside], "left_anti")
+    return one.select(*found.columns).union(wrapped.select(*found.columns))
 
 
 def license_documents(docs: DataFrame, **options) -> DataFrame:

@@ -163,6 +163,18 @@ def test_every_short_notice_in_both_cases(spark):
     assert [got[i] for i in range(11)] == [*notices.values(), *notices.values(), "unknown"]
 
 
+def test_wrapped_notices(spark):
+    import textwrap
+
+    whole = {f: max(license.TEMPLATES[f], key=len) for f in ("apache-2.0", "mit", "gpl-3.0", "bsd-3-clause", "proprietary")}
+    texts = [f"some prose here\n{textwrap.fill(n, width, initial_indent='# ', subsequent_indent='# ')}\nand more of it" for width in (30, 72) for n in whole.values()]
+    texts += ["All rights\nreserved.", "the general public may\nuse the library under\nthe terms of a license"]
+    got = {r.doc_id: r for r in license.license_documents(docs(spark, texts)).collect()}
+    assert [got[i].families for i in range(12)] == [*whole, *whole, "proprietary", "unknown"]
+    # Of the last notice a first line can be one by itself.
+    assert [got[i].n_notices for i in range(12) if i not in (4, 9)] == [1] * 9 + [0]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 64 + 0.001]) for i in range(60)] + [(60, None), (61, [float("nan")] * 5), (62, [None] * 5)]
