@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 GROUPED_NUMBER = r"\d{1,3}(?:,\d{3})+(?:\.\d+)?"
 CJK = r"[ぁ-んァ-ンー一-龯々〆ヶ]+"
 WORD_TOKEN = rf"{GROUPED_NUMBER}|[a-z0-9]+(?:[._/-][a-z0-9]+)*|{CJK}"
+# Metadata that context text may show (fixed values).
 CONTEXT_KEYS = ("heading", "heading_path", "json_pointer", "headers", "cell_type", "output_type")
 
 
@@ -37,13 +38,14 @@ def normalize(text: Column, *, latin_only: bool = False) -> Column:
 
 def word_tokens(normalized: Column) -> Column:
     """Tokens in order; numbers also without commas, compound tokens also by part."""
+    return F.flatten(F.transform(F.regexp_extract_all(normalized, F.lit(WORD_TOKEN), F.lit(0)), token_forms))
 
-    def more(t: Column) -> Column:
-        plain = F.when(t.rlike(rf"\A(?:{GROUPED_NUMBER})\z"), F.array(F.replace(t, F.lit(","), F.lit("")))).otherwise(F.array().cast("array<string>"))
-        parts = F.filter(F.regexp_extract_all(t, F.lit("[a-z0-9]+"), F.lit(0)), lambda p: p != t)
-        return F.concat(F.array(t), plain, parts)
 
-    return F.flatten(F.transform(F.regexp_extract_all(normalized, F.lit(WORD_TOKEN), F.lit(0)), more))
+def token_forms(t: Column) -> Column:
+    """A matched token and its further forms; those without a mark inside, nearly all, pass without a regex."""
+    plain = F.when(t.rlike(rf"\A(?:{GROUPED_NUMBER})\z"), F.array(F.replace(t, F.lit(","), F.lit("")))).otherwise(F.array().cast("array<string>"))
+    parts = F.filter(F.regexp_extract_all(t, F.lit("[a-z0-9]+"), F.lit(0)), lambda p: p != t)
+    return F.when(F.translate(t, ",._/-", "") == t, F.array(t)).otherwise(F.concat(F.array(t), plain, parts))
 
 
 def cjk_ngrams(normalized: Column, least: int = 2, most: int = 3) -> Column:
@@ -118,6 +120,16 @@ def line_number(text: Column, position: Column) -> Column:
     return F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit(""))) + 1
 
 
+def joined_preview(text: Column, size: int, *, mark: str = " ") -> Column:
+    """A preview on one line: canonical composition, then lines joined by ``mark``."""
+
+    @F.pandas_udf("string")
+    def composed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+    return preview(F.regexp_replace(composed(text), r"\r\n?|\n", mark), size)
+
+
 def chunk_id(chunk_index: Column, locator: Column, parser: Column, path: Column, units: Column, text: Column, unit_type: Column) -> Column:
     """SHA-256 of the canonical JSON of what identifies a chunk."""
     record = F.struct(chunk_index.alias("chunk_index"), locator.alias("locator"), parser.alias("parser_name"), path.alias("relative_path"), units.alias("source_unit_indices"), text.alias("text"), unit_type.alias("unit_type"))

@@ -1,4 +1,4 @@
-"""Chunk tables, audit rules, chunk validation, samples, and diagnostics."""
+"""Text chunks, locators, distributions, diagnoses, range overlap, reading order, and answers."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ LOCATOR_PREFIXES = {
     "pptx_slide_title": "slide:", "pptx_slide_text": "slide:", "pptx_speaker_notes": "slide:", "pptx_slide_table": "slide:", "pptx_slide_table_row": "slide:",
     "table_header": "row:", "table_row": "row:", "xlsx_workbook_summary": "workbook", "xlsx_sheet_summary": "sheet:", "xlsx_table_rows": "sheet:",
 }
+# Absolute paths of both systems, and suffixes of office files (fixed values).
 ABSOLUTE_PATH = r"""(?U)[A-Za-z]:[\\/][^\s"']+|(?<![\w:])/[^\s"']+"""
 OFFICE_SUFFIXES = (".doc", ".docx", ".xls", ".xlsx", ".xlsm", ".ppt", ".pptx")
 
@@ -36,23 +37,6 @@ def text_chunks(units: DataFrame, most: int = 4000, overlap: int = 200) -> DataF
     return rows.withColumn("chunk_id", ident)
 
 
-def table_chunks(rows: DataFrame, headers: list[str], *, size: int = 25) -> DataFrame:
-    """Blocks of ``size`` rows of (path, row_number, values array) where the character limit cannot bind."""
-    block = F.floor((F.col("row_number") - 1) / size)
-    line = F.concat(F.lit("行"), F.col("row_number"), F.lit(": "), F.array_join("values", " | "))
-    grouped = rows.groupBy("path", block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("row_number", line.alias("line")))).alias("lines"))
-    head = F.lit("列: " + " | ".join(headers))
-    locator = F.concat(F.lit("row:"), F.get("lines.row_number", F.lit(0)), F.lit("-"), F.element_at("lines.row_number", -1))
-    return grouped.select("path", F.col("block").cast("int").alias("chunk_index"), F.concat_ws("\n", head, F.array_join("lines.line", "\n")).alias("text"), locator.alias("locator"))
-
-
-def islands(units: DataFrame) -> DataFrame:
-    """Runs of table rows behind a header in (path, unit_index, unit_type): each header or other unit starts a block."""
-    opens = F.when(F.col("unit_type") == "table_row", 0).otherwise(1)
-    block = F.sum(opens).over(Window.partitionBy("path").orderBy("unit_index"))
-    return units.withColumn("block", block)
-
-
 def locator_issue(unit_type: Column, locator: Column) -> Column:
     """``missing_required_locator``, ``invalid_locator_format`` or null."""
     prefix = F.lit(None).cast("string")
@@ -62,20 +46,6 @@ def locator_issue(unit_type: Column, locator: Column) -> Column:
     return F.when(needed & locator.isNull(), F.lit("missing_required_locator")).when(prefix.isNotNull() & ~locator.startswith(prefix), F.lit("invalid_locator_format"))
 
 
-def audit_issues(units: DataFrame, large: int = 20_000) -> DataFrame:
-    """Issue rows of (path, unit_index, unit_type, text, locator): one scan, one exploded array of rules."""
-    same = Window.partitionBy("path", "text")
-    first = F.when(F.col("text") != "", F.min("unit_index").over(same))
-    rules = F.array(
-        F.when(F.col("text") == "", F.struct(F.lit("empty_unit").alias("issue"), F.lit("info").alias("severity"))),
-        F.when(locator_issue(F.col("unit_type"), F.col("locator")).isNotNull(), F.struct(locator_issue(F.col("unit_type"), F.col("locator")).alias("issue"), F.lit("warning").alias("severity"))),
-        F.when(F.length("text") > large, F.struct(F.lit("large_unit").alias("issue"), F.lit("warning").alias("severity"))),
-        F.when(F.col("first") < F.col("unit_index"), F.struct(F.lit("duplicate_unit_text").alias("issue"), F.lit("info").alias("severity"))),
-    )
-    rows = units.withColumn("first", first).select("path", "unit_index", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("r"))
-    return rows.select("path", "unit_index", "r.issue", "r.severity")
-
-
 def distribution(values: DataFrame, column: str, *by: str) -> DataFrame:
     """Count, minimum, maximum, mean, median and interpolated 95th percentile; zeros for no values."""
     zero = lambda c: F.coalesce(c, F.lit(0.0))
@@ -84,35 +54,8 @@ def distribution(values: DataFrame, column: str, *by: str) -> DataFrame:
     return values.groupBy(*by).agg(*stats)
 
 
-def evenly_spaced(rows: DataFrame, count: int, order: list[str], *by: str) -> DataFrame:
-    """Samples at rounded (half to even) even distances in each group."""
-    group = Window.partitionBy(*by)
-    numbered = rows.withColumn("at", F.row_number().over(group.orderBy(*order)) - 1).withColumn("n", F.count("*").over(group))
-    wanted = F.array_distinct(F.transform(F.sequence(F.lit(0), F.least(F.lit(count), F.col("n")) - 1), lambda i: F.bround(i * (F.col("n") - 1) / F.greatest(F.least(F.lit(count), F.col("n")) - 1, F.lit(1))).cast("long")))
-    return numbered.filter(F.array_contains(wanted, F.col("at").cast("long"))).drop("n")
-
-
-def validation_errors(chunks: DataFrame, unit_counts: DataFrame, most: int = 4000) -> DataFrame:
-    """Error rows of (chunk_id, path, text, units): references, blank, NUL and oversized text, absolute paths, repeats."""
-    rows = chunks.join(unit_counts, "path", "left")
-    outside = F.exists("units", lambda i: (i < 0) | (i >= F.col("n_units")))
-    rules = [
-        (~F.coalesce(F.col("text").rlike(r"(?U)\S"), F.lit(False)), "empty_text_chunk"),
-        (F.col("text").contains("\0"), "nul_text_chunk"),
-        (F.col("path").rlike(ABSOLUTE_PATH), "absolute_path_detected"),
-        (F.col("n_units").isNull(), "invalid_document_reference"),
-        (F.coalesce(outside, F.lit(False)), "invalid_unit_reference"),
-        (F.length("text") > most, "oversized_chunk"),
-    ]
-    found = F.filter(F.array(*[F.when(c, F.lit(name)) for c, name in rules]), lambda x: x.isNotNull())
-    each = rows.select("chunk_id", "path", F.explode(found).alias("issue"), F.lit("error").alias("severity"))
-    ids = chunks.groupBy("chunk_id").agg(F.count("*").alias("n")).filter("n > 1").select("chunk_id", F.lit(None).cast("string").alias("path"), F.lit("duplicate_chunk_id").alias("issue"), F.lit("error").alias("severity"))
-    texts = chunks.groupBy("path", "text").agg(F.count("*").alias("n"), F.min("chunk_id").alias("chunk_id")).filter("n > 1").select("chunk_id", "path", F.lit("duplicate_chunk_content").alias("issue"), F.lit("warning").alias("severity"))
-    return each.unionByName(ids).unionByName(texts)
-
-
 def pdf_diagnosis(size: Column, header: Column, eof: Column, readable: Column, encrypted: Column, decrypted: Column, converted: Column, sampled: Column) -> Column:
-    """First fitting label of the ordered diagnosis."""
+    """First fitting label of the ordered diagnosis (fixed values)."""
     return (
         F.when(size == 0, "empty_file")
         .when(~header, "not_pdf")
@@ -130,7 +73,7 @@ def dispatch(files: DataFrame, registry: DataFrame) -> DataFrame:
     """Files with the parser of their suffix, null where none; two parsers for a suffix are an error."""
     if registry.groupBy("suffix").count().filter("count > 1").limit(1).count():
         raise ValueError("more than one parser for a suffix")
-    return files.withColumn("suffix", suffix_of(F.col("path"))).join(F.broadcast(registry), "suffix", "left")
+    return files.withColumn("suffix", suffix_of(F.col("path"))).join(registry, "suffix", "left")
 
 
 def overlapping(ranges: DataFrame, areas: DataFrame) -> DataFrame:
@@ -141,21 +84,26 @@ def overlapping(ranges: DataFrame, areas: DataFrame) -> DataFrame:
 
 
 def reading_order(regions: DataFrame, tolerance: float = 0.6) -> DataFrame:
-    """``page, ord, line, position`` of OCR regions (page, ord, x0, y0, x1, y1): greedy lines by centre, then left to right."""
+    """``page, ord, line, position`` of OCR regions (page, ord, x0, y0, x1, y1): lines from top to bottom, then left to right.
+
+    From the top down a region joins the first line whose centre is within
+    ``tolerance`` of the larger height (1 at least), else it opens one; a line's
+    centre is the mean of its regions'.  The fold is sequential within a page.
+    """
 
     def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["y0", "x0", "ord"])
         lines: list[dict] = []
-        for r in g.itertuples():
-            centre, height = (r.y0 + r.y1) / 2, r.y1 - r.y0
-            near = [x for x in lines if abs(x["centre"] - centre) <= tolerance * max(x["height"], height)]
-            if near:
-                x = min(near, key=lambda x: abs(x["centre"] - centre))
-                x["centre"] = (x["centre"] * len(x["rows"]) + centre) / (len(x["rows"]) + 1)
-                x["height"] = max(x["height"], height)
-                x["rows"].append(r)
-            else:
-                lines.append({"centre": centre, "height": height, "rows": [r]})
+        for r in g.sort_values(["y0", "x0", "ord"]).itertuples():
+            tall = max(0.0, r.y1 - r.y0)
+            centre, height = r.y0 + tall / 2, max(1.0, tall)
+            line = next((x for x in lines if abs(x["centre"] - centre) <= tolerance * max(x["height"], height)), None)
+            if line is None:
+                line = {"centres": [], "height": height, "rows": []}
+                lines.append(line)
+            line["rows"].append(r)
+            line["centres"].append(centre)
+            line["centre"] = sum(line["centres"]) / len(line["centres"])
+            line["height"] = max(line["height"], tall)
         out = [(r.page, r.ord, i, k) for i, x in enumerate(sorted(lines, key=lambda x: x["centre"])) for k, r in enumerate(sorted(x["rows"], key=lambda r: (r.x0, r.ord)))]
         return pd.DataFrame(out, columns=["page", "ord", "line", "position"])
 

@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 K1, B, RRF_K = 1.5, 0.75, 60
 
 
+def spread(rows: DataFrame, *, least: int | None = None) -> DataFrame:
+    """``rows`` dealt over the cluster if their scan has fewer partitions than it has cores, as few small files do."""
+    cores = least or rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def postings(records: DataFrame) -> DataFrame:
     """``record, token, tf`` from (record, tokens)."""
     return records.select("record", F.explode("tokens").alias("token")).groupBy("record", "token").agg(F.count("*").alias("tf"))
@@ -28,20 +34,33 @@ def token_frequencies(posts: DataFrame) -> DataFrame:
     return posts.groupBy("token").agg(F.count("*").alias("df"))
 
 
-def corpus_stats(lengths: DataFrame) -> DataFrame:
-    return lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+def corpus_stats(records: DataFrame, posts: DataFrame) -> DataFrame:
+    """One row: records, and their mean length; neither reads a text again."""
+    total = posts.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
+    return records.select("record").agg(F.count("*").alias("n")).join(total).select("n", F.try_divide(F.col("total").cast("double"), F.col("n")).alias("avgdl"))
 
 
 def weighted_postings(records: DataFrame) -> DataFrame:
-    """``token, record, weight``: an index whose queries only join and sum."""
-    posts, lengths = postings(records), record_lengths(records)
-    stats = corpus_stats(lengths)
+    """``token, record, weight``: an index whose queries only join and sum.
+
+    Lengths and frequencies come from the postings, whose shuffle is reused, so
+    texts are tokenised once.
+    """
+    posts = postings(records)
+    lengths = posts.groupBy("record").agg(F.sum("tf").alias("dl"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    rows = posts.join(token_frequencies(posts), "token").join(lengths, "record").join(F.broadcast(stats))  # one row of statistics
+    rows = posts.join(lengths, "record").join(token_frequencies(posts), "token").join(corpus_stats(records, posts))  # the last is one row
     return rows.select("token", "record", (idf * tf).alias("weight"))
 
 
+def with_sentinel(records: DataFrame, token: str = "__empty__") -> DataFrame:
+    """``records`` (record, tokens); where no record of a channel has a token, each gets ``token`` so that the channel exists."""
+    if records.filter(F.size("tokens") > 0).limit(1).count() or not records.limit(1).count():
+        return records
+    return records.withColumn("tokens", F.array(F.lit(token)))
+
+
 def channel_scores(index: DataFrame, queries: DataFrame) -> DataFrame:
     """``query, record, score`` above 0 from (query, tokens); a repeated query token counts again."""
     asked = queries.select("query", F.explode("tokens").alias("token")).groupBy("query", "token").agg(F.count("*").alias("qtf"))
@@ -67,15 +86,37 @@ def fuse(rankings: DataFrame, limit: int, rrf_k: int = RRF_K) -> DataFrame:
     return fused.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
 
 
-def search(channels: dict[str, tuple[DataFrame, DataFrame]], limit: int, *, multiplier: int = 5, rrf_k: int = RRF_K) -> DataFrame:
-    """Fused search over named (index, queries) channels."""
-    parts = [ranked(channel_scores(i, q), max(limit * multiplier, limit)).withColumn("channel", F.lit(name)) for name, (i, q) in channels.items()]
+def checked_queries(queries: DataFrame, limit: int, *channels: str) -> DataFrame:
+    """``queries`` (query, text, and a token array a channel); a limit below 1, a blank text, or a query without any token raises."""
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    blank = F.coalesce(F.regexp_replace("text", r"(?U)\s", ""), F.lit("")) == ""
+    silent = F.lit(True)
+    for c in channels:
+        silent = silent & (F.coalesce(F.size(c), F.lit(0)) <= 0)
+    if bad := queries.filter(blank | silent).select("query").first():
+        raise ValueError(f"query {bad['query']!r} is blank or has no token")
+    return queries
+
+
+def search(channels: dict[str, tuple[DataFrame | None, DataFrame]], limit: int, *, multiplier: int = 5, rrf_k: int = RRF_K) -> DataFrame:
+    """Fused search over named (index, queries) channels; one whose index is absent finds nothing."""
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    parts = [ranked(channel_scores(i, q), max(limit * multiplier, limit)).withColumn("channel", F.lit(name)) for name, (i, q) in channels.items() if i is not None]
+    if not parts:
+        raise ValueError("no channel has an index")
     rankings = parts[0]
     for p in parts[1:]:
         rankings = rankings.unionByName(p)
     return fuse(rankings, limit, rrf_k)
 
 
+def materialized(results: DataFrame, records: DataFrame) -> DataFrame:
+    """Results (query, record, ...) with their records' columns."""
+    return results.join(records, "record")
+
+
 def evaluate(results: DataFrame, expected: DataFrame, queries: DataFrame) -> DataFrame:
     """Hit@1/3/5/10, first relevant rank and reciprocal rank of each query; nulls for queries without expectations."""
     hit = results.join(expected, ["query", "record"], "left_semi").groupBy("query").agg(F.min("rank").alias("first_rank"))

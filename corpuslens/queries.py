@@ -1,34 +1,17 @@
-"""Queries over the test tables, with their SQL where SQL can express them."""
+"""Queries over the test tables, with their SQL where SQL can express them: text, search, chunks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuslens.catalog import ORACLES, QUERIES, query, table
 from corpuslens.functions import text as X
 from corpuslens.operators import corpus as C
+from corpuslens.operators import quality as V
 from corpuslens.operators import search as S
 from corpuslens.operators import summaries as M
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["ORACLES", "QUERIES"]
 
 NORM = "trim(regexp_replace(regexp_replace(regexp_replace(replace(lower({0}), 'ß', 'ss'), '\\r\\n?', chr(10), 'g'), '[ \\t\\f\\x0B]+', ' ', 'g'), '(?m)^[ ]+|[ ]+$', '', 'g'), chr(10) || ' ')"
 TOKENS = r"regexp_extract_all({0}, '\d{{1,3}}(?:,\d{{3}})+(?:\.\d+)?|[a-z0-9]+(?:[._/-][a-z0-9]+)*|[ぁ-んァ-ンー一-龯々〆ヶ]+')"
@@ -54,7 +37,7 @@ r_{d} AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DE
 
 
 def _content(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(F.col("text"), latin_only=True)).alias("tokens"))
+    docs = S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(F.col("text"), latin_only=True)).alias("tokens"))
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), X.word_tokens(X.normalize(F.col("text"), latin_only=True)).alias("tokens"))
     return docs, asked
 
@@ -62,7 +45,7 @@ def _content(spark, sf_dir):
 def _context(spark, sf_dir):
     path = F.concat("source", F.lit("/"), F.col("doc_id"), F.lit(".txt"))
     line = X.context_text(path, F.lit("plain_text"), F.lit("text"), F.concat(F.lit("line:1-"), F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1))
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(line, latin_only=True)).alias("tokens"))
+    return S.spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(line, latin_only=True)).alias("tokens"))
 
 
 CONTEXT = "'file=' || doc_id || '.txt' || chr(10) || 'path=' || source || '/' || doc_id || '.txt' || chr(10) || 'parser=plain_text' || chr(10) || 'unit=text' || chr(10) || 'locator=line:1-' || (length(text) - length(replace(text, chr(10), '')) + 1)"
@@ -71,7 +54,7 @@ DOC_TOKENS, ITEM_TOKENS = _rows("d", "doc_id", "text", "documents"), _rows("q",
 
 @query("normalize_text", f"SELECT doc_id, {NORM.format('text')} AS normalized FROM documents")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.normalize(F.col("text"), latin_only=True).alias("normalized"))
+    return S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalize(F.col("text"), latin_only=True).alias("normalized"))
 
 
 @query("word_tokens", f"WITH {DOC_TOKENS} SELECT k AS doc_id, t AS token, count(*) AS n FROM t_d GROUP BY k, t")
@@ -112,10 +95,18 @@ def _(spark, sf_dir):
 
 
 def _expected(spark, sf_dir):
-    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    # The question set is small by nature; its size is checked by the optimizer before it is broadcast.
-    found = docs.select("doc_id", F.col("text").alias("body")).join(items, F.col("body").contains(F.col("text")))
-    return found.select(F.col("item_id").alias("query"), F.col("doc_id").alias("record"))
+    """Documents that hold an item's text: they share the text's first long word, which an equi-join finds; the whole text confirms."""
+    docs, items = S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "benchmark")
+    words = lambda c: F.split(c, r"[^\p{L}\p{N}]+")
+    # Words at the ends of an item may be parts of longer ones.
+    inner = F.slice(words("text"), F.lit(2), F.greatest(F.size(words("text")) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    keyed = items.select("item_id", F.col("text").alias("wanted"), longest.alias("word"))
+    own = docs.select("doc_id", F.explode(F.array_distinct(words("text"))).alias("word")).join(keyed.filter(F.col("word") != "").select("word", "item_id", "wanted"), "word")
+    whole = docs.join(own.select("doc_id", "item_id", "wanted"), "doc_id").filter(F.col("text").contains(F.col("wanted")))
+    # Items of fewer than three words have no such key; they alone are compared with every text.
+    short = docs.join(keyed.filter(F.coalesce("word", F.lit("")) == ""), F.col("text").contains(F.col("wanted")))
+    return whole.select("item_id", "doc_id").union(short.select("item_id", "doc_id")).select(F.col("item_id").alias("query"), F.col("doc_id").alias("record"))
 
 
 EVAL = FUSED + """, expected AS (SELECT item_id AS query, doc_id AS record FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
@@ -182,68 +173,17 @@ def _(spark, sf_dir):
     return _chunks(spark, sf_dir).agg(F.count("*").alias("chunks"), F.sum(n).alias("characters"), F.max(n).alias("largest"), F.round(F.avg(n), 6).alias("mean"))
 
 
-@query("table_chunks", """WITH r AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS n FROM (SELECT p_partkey, p_name FROM part)),
-b AS (SELECT CAST((n - 1) // 25 AS INTEGER) AS chunk_index, string_agg('行' || n || ': ' || p_partkey || ' | ' || p_name, chr(10) ORDER BY n) AS body, min(n) AS lo, max(n) AS hi FROM r GROUP BY 1)
-SELECT 'part.csv' AS path, chunk_index, '列: p_partkey | p_name' || chr(10) || body AS text, 'row:' || lo || '-' || hi AS locator FROM b""")
-def _(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    rows = part.select(F.lit("part.csv").alias("path"), F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("p_partkey")).alias("row_number"), F.array(F.col("p_partkey").cast("string"), "p_name").alias("values"))
-    return C.table_chunks(rows, ["p_partkey", "p_name"])
-
-
 @query("distribution_stats", """SELECT lang, count(n_chars) AS n, CAST(min(n_chars) AS DOUBLE) AS least, CAST(max(n_chars) AS DOUBLE) AS most, round(avg(n_chars), 6) AS mean, CAST(median(n_chars) AS DOUBLE) AS median,
 round(quantile_cont(n_chars, 0.95), 6) AS p95 FROM documents GROUP BY lang""")
 def _(spark, sf_dir):
     return C.distribution(table(spark, sf_dir, "documents"), "n_chars", "lang")
 
 
-def _units(spark, sf_dir):
-    """Conversations as notebooks: one cell a turn; one locator in seven is broken."""
-    t = table(spark, sf_dir, "conversations")
-    locator = F.when(F.col("turn") % 7 == 3, F.concat(F.lit("row:"), F.col("turn"))).otherwise(F.concat(F.lit("cell:"), F.col("turn")))
-    return t.select(F.concat(F.lit("conv/"), F.col("conv_id"), F.lit(".ipynb")).alias("path"), F.col("turn").alias("unit_index"), F.lit("notebook_cell").alias("unit_type"), "text", locator.alias("locator"))
-
-
-UNITS = "WITH u AS (SELECT 'conv/' || conv_id || '.ipynb' AS path, turn AS unit_index, text, CASE WHEN turn % 7 = 3 THEN 'row:' || turn ELSE 'cell:' || turn END AS locator FROM conversations)"
-
-
-@query("audit_issues", UNITS + """ SELECT path, unit_index, 'empty_unit' AS issue, 'info' AS severity FROM u WHERE text = ''
-UNION ALL SELECT path, unit_index, 'invalid_locator_format', 'warning' FROM u WHERE NOT starts_with(locator, 'cell:')
-UNION ALL SELECT path, unit_index, 'large_unit', 'warning' FROM u WHERE length(text) > 200
-UNION ALL SELECT path, unit_index, 'duplicate_unit_text', 'info' FROM (SELECT *, min(unit_index) OVER (PARTITION BY path, text) AS f FROM u WHERE text <> '') WHERE f < unit_index""")
-def _(spark, sf_dir):
-    return C.audit_issues(_units(spark, sf_dir), 200)
-
-
 @query("evenly_spaced_samples", """WITH o AS (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM documents),
 w AS (SELECT DISTINCT lang, CAST(round_even(i * (n - 1) / greatest(least(5, n) - 1, 1), 0) AS BIGINT) AS place FROM o, range(5) t(i) WHERE i < least(5, n)) SELECT o.lang, o.doc_id, CAST(o.place AS INTEGER) AS place FROM o JOIN w USING (lang, place)""")
 def _(spark, sf_dir):
-    return C.evenly_spaced(table(spark, sf_dir, "documents").select("lang", "doc_id"), 5, ["doc_id"], "lang").select("lang", "doc_id", F.col("at").alias("place"))
-
-
-@query("validation_errors", """WITH c AS (SELECT 'c' || (doc_id // 2) AS chunk_id, source AS path, text, doc_id % 5 AS unit FROM documents), n AS (SELECT source AS path, CAST(count(*) % 4 AS INT) AS n_units FROM documents WHERE source <> 'src1' GROUP BY source)
-SELECT chunk_id, c.path, 'empty_text_chunk' AS issue, 'error' AS severity FROM c WHERE trim(text, ' ' || chr(10)) = ''
-UNION ALL SELECT chunk_id, path, 'invalid_document_reference', 'error' FROM c WHERE path = 'src1'
-UNION ALL SELECT chunk_id, path, 'invalid_unit_reference', 'error' FROM c JOIN n USING (path) WHERE unit >= n_units
-UNION ALL SELECT chunk_id, path, 'oversized_chunk', 'error' FROM c WHERE length(text) > 4000
-UNION ALL SELECT chunk_id, NULL, 'duplicate_chunk_id', 'error' FROM c GROUP BY chunk_id HAVING count(*) > 1
-UNION ALL SELECT min(chunk_id), path, 'duplicate_chunk_content', 'warning' FROM c GROUP BY path, text HAVING count(*) > 1""")
-def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    chunks = docs.select(F.concat(F.lit("c"), F.expr("doc_id div 2")).alias("chunk_id"), F.col("source").alias("path"), "text", F.array((F.col("doc_id") % 5).cast("int")).alias("units"))
-    counts = docs.filter("source <> 'src1'").groupBy(F.col("source").alias("path")).agg((F.count("*") % 4).cast("int").alias("n_units"))
-    return C.validation_errors(chunks, counts)
-
-
-@query("absolute_paths", r"""SELECT page_id FROM pages WHERE regexp_matches(html, '[A-Za-z]:[\\/][^\s"'']+|(^|[^\p{L}\p{N}_:])/[^\s"'']+')""")
-def _(spark, sf_dir):
-    return table(spark, sf_dir, "pages").filter(F.col("html").rlike(C.ABSOLUTE_PATH)).select("page_id")
-
-
-@query("json_leaves", "SELECT event_id, '/k' AS pointer, json_extract_string(props, '$.k') AS leaf FROM events")
-def _(spark, sf_dir):
-    leaf = F.explode(F.from_json("props", "map<string,string>"))
-    return table(spark, sf_dir, "events").select("event_id", leaf.alias("key", "leaf")).select("event_id", F.concat(F.lit("/"), F.col("key")).alias("pointer"), "leaf")
+    ordered = V.numbered(table(spark, sf_dir, "documents").select("lang", "doc_id"), ["doc_id"], "lang")
+    return ordered.filter(F.array_contains(V._even(F.col("n"), 5), F.col("place"))).select("lang", "doc_id", F.col("place").cast("int").alias("place"))
 
 
 @query("extension_histogram", "SELECT coalesce(nullif(lower(regexp_extract(regexp_extract(url, '^[^?#]*'), '[^/](\\.[^./]+)$', 1)), ''), 'none') AS suffix, count(*) AS n FROM pages GROUP BY 1")
@@ -277,13 +217,6 @@ def _(spark, sf_dir):
     return rows.groupBy("id", "gram").agg(F.count("*").alias("uses"))
 
 
-@query("ocr_reading_order")
-def _(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select((F.col("p_partkey") % 20).cast("long").alias("page"), F.col("p_partkey").cast("int").alias("ord"))
-    x, y = (F.col("ord") * 37 % 600).cast("double"), (F.col("ord") * 91 % 800).cast("double")
-    return C.reading_order(p.select("page", "ord", x.alias("x0"), y.alias("y0"), (x + 40).alias("x1"), (y + 12).alias("y1")))
-
-
 @query("ocr_confidence", """SELECT round(coalesce(sum((p_partkey % 100) / 100.0::DOUBLE * (p_partkey % 7)) / nullif(sum(p_partkey % 7), 0), 0), 9) AS mean_confidence, CAST(coalesce(sum(p_partkey % 7), 0) AS BIGINT) AS regions
 FROM part WHERE p_partkey % 3 < 2 AND p_partkey % 7 > 0""")
 def _(spark, sf_dir):
@@ -316,3 +249,6 @@ def _(spark, sf_dir):
     files = table(spark, sf_dir, "pages").select("page_id", "html", F.concat(F.lit("p/"), k, suffix).alias("path"), parser.alias("parser"), (k % 11 == 0).alias("failed"))
     done = files.filter(F.col("parser").isNotNull() & ~F.col("failed"))
     return M.extraction_summary(files, done.select(F.col("html").alias("text")), done.filter(k % 5 == 0).select(F.lit("empty_document").alias("issue_type")))
+
+
+from corpuslens import corpus_queries as _corpus_queries  # noqa: E402, F401  (registers its queries)

@@ -1,8 +1,9 @@
-"""Parsers from files to text units, and strict JSON-lines readers.
+"""Parsers from files to text units.
 
 Files come from Spark's ``binaryFile`` reader; a parser is a function from bytes
 to unit records that runs in an Arrow batch UDF.  A file that fails becomes a
-failure row and never fails the task.
+failure row and never fails the task.  Parsers are found by suffix in a registry
+that callers may extend.
 """
 
 from __future__ import annotations
@@ -10,28 +11,66 @@ from __future__ import annotations
 import csv
 import io
 import json
+import mimetypes
 import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-TECHNICAL_FOLDERS = (".git", ".venv", "venv", "__pycache__", "node_modules", ".pytest_cache")
-UNIT_SCHEMA = "path string, parser string, unit_index int, unit_type string, text string, locator string, metadata string, error string"
-_HEADING = re.compile(r"^\s{0,3}(#{1,6})\s+(.+?)\s*#*\s*$")
-_ANSI = re.compile(r"\x1b\[[0-9;?]*[ -/]*[@-~]")
+from corpuslens.operators.corpus import OFFICE_SUFFIXES, suffix_of
+from corpuslens.sources.workbook import Issue, WorkbookError, workbook
+
+# Folders that are not read, headings, terminal control sequences (ECMA-48), output types by preference (fixed values).
+TECHNICAL_FOLDERS = (".git", ".venv", "__pycache__", ".pytest_cache", ".mypy_cache", ".ruff_cache")
+HEADING = re.compile(r"^\s{0,3}(#{1,6})\s+(.+?)\s*#*\s*$")
+CONTROL_SEQUENCE = re.compile(r"\x1b\[[0-?]*[ -/]*[@-~]")
+DISPLAY_TYPES = ("text/plain", "text/markdown", "application/json")
+CELL_TYPES = ("markdown", "code", "raw")
+OFFICE_TYPES = {f".{s}": f"application/vnd.openxmlformats-officedocument.{kind}" for s, kind in (("docx", "wordprocessingml.document"), ("pptx", "presentationml.presentation"), ("xlsx", "spreadsheetml.sheet"))}
+LOCK_REASON = "office_temporary_file"
+UNIT_SCHEMA = "path string, parser string, unit_index int, unit_type string, text string, locator string, metadata string, issue string, error string"
 Unit = tuple[str, str, str | None, dict]
+Parser = Callable[[bytes, str], Iterator[Unit | Issue]]
 
 
-def discover(spark: SparkSession, root: str) -> DataFrame:
-    """``path, relative_path, length, modificationTime, content`` below a root, without technical folders and office lock files."""
+def mime_type(path: Column) -> Column:
+    """Media type of a path's suffix by Python's built-in table and the office formats; null if unknown."""
+    known = mimetypes.MimeTypes().types_map[True] | OFFICE_TYPES
+    return F.element_at(F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair]), suffix_of(path))
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """Files below a folder of any store: ``path, relative_path, name, suffix, mime_type, length, modificationTime, content, reason``.
+
+    ``reason`` says why a file is ignored (lock files of office programs), null
+    for the others; technical folders are left out altogether.  Spark's reader
+    skips names that begin with ``.`` or ``_``, and follows links.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(at):
+        raise FileNotFoundError(root)
+    if not store.getFileStatus(at).isDirectory():
+        raise NotADirectoryError(root)
+    base = store.makeQualified(at).toString().rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = re.sub(r"^file:/*", "/", root).rstrip("/") + "/"
-    relative = F.regexp_replace("path", "^(?:file:)?/*" + re.escape(base.lstrip("/")), "")
-    pruned = "(?:^|/)(?:" + "|".join(map(re.escape, TECHNICAL_FOLDERS)) + ")/"
-    return files.withColumn("relative_path", relative).filter(~F.col("relative_path").rlike(pruned) & ~F.col("relative_path").rlike(r"(?:^|/)~\$[^/]*$"))
+    files = files.withColumn("relative_path", F.substring("path", F.lit(len(base) + 1), F.length("path")))
+    files = files.withColumn("name", F.element_at(F.split("relative_path", "/"), -1)).withColumn("suffix", suffix_of(F.col("relative_path"))).withColumn("mime_type", mime_type(F.col("relative_path")))
+    folders = "(?:^|/)(?:" + "|".join(map(re.escape, TECHNICAL_FOLDERS)) + ")/"
+    locked = F.col("name").startswith("~$") & F.col("suffix").isin(*OFFICE_SUFFIXES)
+    return files.filter(~F.col("relative_path").rlike(folders)).withColumn("reason", F.when(locked, LOCK_REASON))
+
+
+def discover(spark: SparkSession, root: str) -> DataFrame:
+    """The files of ``listing`` that are not ignored."""
+    return listing(spark, root).filter("reason IS NULL").drop("reason")
+
+
+def ignored_by_reason(files: DataFrame) -> DataFrame:
+    """``reason, n`` of a listing's ignored files."""
+    return files.filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def plain(content: bytes, path: str) -> Iterator[Unit]:
@@ -42,19 +81,20 @@ def plain(content: bytes, path: str) -> Iterator[Unit]:
 def markdown(content: bytes, path: str) -> Iterator[Unit]:
     """Sections from one heading to the next; headings inside backtick fences are text."""
     lines = content.decode("utf-8").splitlines()
-    heads, fenced = [], False
+    heads: list[tuple[int, int | None, str | None]] = [(0, None, None)]
+    fenced = False
     for i, line in enumerate(lines):
-        if line.lstrip().startswith("```"):
+        if line.strip().startswith("```"):
             fenced = not fenced
-        elif not fenced and (m := _HEADING.match(line)):
-            heads.append((i, len(m[1]), m[2]))
-    cuts = [0, *(h[0] for h in heads), len(lines)]
-    if "\n".join(lines[: cuts[1]]) and cuts[1] > 0:
-        yield "markdown_section", "\n".join(lines[: cuts[1]]), f"line:1-{cuts[1]}", {"heading": "", "heading_path": []}
+        elif not fenced and (m := HEADING.match(line)):
+            heads.append((i, len(m[1]), m[2].strip()))
     trail: list[tuple[int, str]] = []
-    for (start, level, title), end in zip(heads, cuts[2:]):
-        trail = [t for t in trail if t[0] < level] + [(level, title)]
-        yield "markdown_section", "\n".join(lines[start:end]), f"line:{start + 1}-{end}", {"heading": title, "heading_path": [t[1] for t in trail]}
+    for (start, level, title), end in zip(heads, [*(h[0] for h in heads[1:]), len(lines)]):
+        if level is not None:
+            trail = [t for t in trail if t[0] < level] + [(level, title)]
+        text = "\n".join(lines[start:end])
+        if level is not None or text:
+            yield "markdown_section", text, f"line:{start + 1}-{end}", {"heading": title, "heading_level": level, "heading_path": [t[1] for t in trail], "start_line": start + 1, "end_line": end}
 
 
 def json_leaves(content: bytes, path: str) -> Iterator[Unit]:
@@ -72,91 +112,149 @@ def json_leaves(content: bytes, path: str) -> Iterator[Unit]:
     yield from walk(json.loads(content.decode("utf-8")), "")
 
 
+def _source(value: object, place: str) -> str:
+    if isinstance(value, str):
+        return value
+    if isinstance(value, list) and all(isinstance(x, str) for x in value):
+        return "".join(value)
+    raise ValueError(f"neither text nor a list of texts: {place}")
+
+
+def _output(out: dict, place: str) -> tuple[str, dict] | None:
+    """Text of a cell's output and what describes it; null for images and unknown types."""
+    kind = out.get("output_type")
+    if kind == "stream":
+        return _source(out.get("text", ""), place), {"stream_name": out.get("name")}
+    if kind in ("execute_result", "display_data") and isinstance(data := out.get("data"), dict):
+        for mime in DISPLAY_TYPES:
+            if mime in data:
+                return json.dumps(data[mime], ensure_ascii=False) if mime == "application/json" else _source(data[mime], place), {"mime_type": mime}
+    if kind == "error":
+        told = ": ".join(x for x in (out.get("ename"), out.get("evalue")) if isinstance(x, str))
+        lines = [x for x in (told, _source(out.get("traceback", []), place)) if x]
+        return CONTROL_SEQUENCE.sub("", "\n".join(lines)), {}
+    return None
+
+
 def notebook(content: bytes, path: str) -> Iterator[Unit]:
-    """Cells and their text outputs."""
-    joined = lambda s: "".join(s) if isinstance(s, list) else s
-    for i, cell in enumerate(json.loads(content.decode("utf-8"))["cells"]):
-        yield "notebook_cell", joined(cell["source"]), f"cell:{i}", {"cell_type": cell["cell_type"]}
-        for j, out in enumerate(cell.get("outputs", [])):
-            kind, text = out.get("output_type"), None
-            if kind == "stream":
-                text = joined(out.get("text", ""))
-            elif kind in ("display_data", "execute_result"):
-                data = out.get("data", {})
-                mime = next((m for m in ("text/plain", "text/markdown", "application/json") if m in data), None)
-                text = None if mime is None else joined(data[mime]) if mime != "application/json" else json.dumps(data[mime], ensure_ascii=False, sort_keys=True)
-            elif kind == "error":
-                text = _ANSI.sub("", "\n".join([f"{out.get('ename', '')}: {out.get('evalue', '')}", *out.get("traceback", [])]))
-            if text is not None:
-                yield "notebook_output", text, f"cell:{i}/output:{j}", {"output_type": kind}
+    """Cells and the text outputs of code cells; anything out of form raises."""
+    book = json.loads(content.decode("utf-8"))
+    if not isinstance(book, dict) or not isinstance(book.get("cells"), list):
+        raise ValueError("a notebook is an object with a list of cells")
+    for i, cell in enumerate(book["cells"]):
+        kind = cell.get("cell_type") if isinstance(cell, dict) else None
+        if kind not in CELL_TYPES:
+            raise ValueError(f"unknown kind of cell: cell:{i}")
+        code = kind == "code"
+        yield "notebook_cell", _source(cell.get("source"), f"cell:{i}/source"), f"cell:{i}", {"cell_index": i, "cell_type": kind, "execution_count": cell.get("execution_count") if code else None}
+        outputs = (cell.get("outputs") or []) if code else []
+        if not isinstance(outputs, list):
+            raise ValueError(f"outputs are no list: cell:{i}")
+        for j, out in enumerate(outputs):
+            place = f"cell:{i}/output:{j}"
+            if not isinstance(out, dict):
+                raise ValueError(f"an output is no object: {place}")
+            if found := _output(out, place):
+                yield "notebook_output", found[0], place, {"cell_index": i, "output_index": j, "output_type": out.get("output_type")} | found[1]
 
 
 def headers_of(raw: list[str], width: int) -> list[str]:
-    """Stripped headers; blank and surplus ones get names, repeats get numbers."""
-    out, seen = [], {}
+    """Stripped headers; blank ones, and surplus columns up to ``width``, are named by their place.
+
+    A name that is taken gets the first free number from 2 on.
+    """
+    out: list[str] = []
     for i in range(max(len(raw), width)):
         name = (raw[i].strip() if i < len(raw) else "") or f"column_{i + 1}"
-        seen[name] = seen.get(name, 0) + 1
-        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+        free = name
+        k = 2
+        while free in out:
+            free, k = f"{name}_{k}", k + 1
+        out.append(free)
     return out
 
 
 def delimited(content: bytes, path: str) -> Iterator[Unit]:
-    """Header and rows of a CSV or TSV file, with logical row numbers."""
+    """Header and rows of a CSV or TSV file, with logical row numbers and the physical lines that each row takes."""
     mark = "\t" if path.lower().endswith(".tsv") else ","
-    rows = list(csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""), delimiter=mark))
-    if not rows:
-        return
-    head = headers_of(rows[0], len(rows[0]))
-    yield "table_header", " | ".join(head), "row:1", {"headers": head, "delimiter": mark}
-    for n, row in enumerate(rows[1:], start=2):
-        names = headers_of(rows[0], len(row))
-        values = row + [""] * (len(names) - len(row))
-        yield "table_row", " | ".join(f"{h}={v}" for h, v in zip(names, values)), f"row:{n}", {"headers": names, "values": values, "logical_row_number": n, "width_mismatch": len(row) != len(head)}
-
-
-REGISTRY: dict[str, tuple[str, Callable[[bytes, str], Iterator[Unit]]]] = {
+    reader = csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", newline=""), delimiter=mark)
+    first: list[str] | None = None
+    line = 0
+    for n, row in enumerate(reader, start=1):
+        place = {"logical_row_number": n, "start_line": line + 1, "end_line": reader.line_num, "delimiter": mark}
+        line = reader.line_num
+        if first is None:
+            first, head = row, headers_of(row, 0)
+            yield "table_header", " | ".join(head), f"row:{n}", place | {"raw_headers": row, "headers": head, "column_count": len(head)}
+            continue
+        names = head if len(row) <= len(head) else headers_of(first, len(row))
+        values = row + [""] * (len(head) - len(row))
+        yield "table_row", " | ".join(f"{h}={v}" for h, v in zip(names, values)), f"row:{n}", place | {"headers": names, "values": values, "actual_column_count": len(row), "expected_column_count": len(head), "width_mismatch": len(row) != len(head)}
+
+
+REGISTRY: dict[str, tuple[str, Parser]] = {
     **{s: ("plain_text", plain) for s in (".txt", ".py", ".toml", ".lock")},
     ".md": ("markdown", markdown),
-    ".json": ("json", json_leaves),
+    ".json": ("json_document", json_leaves),
     ".ipynb": ("notebook", notebook),
     **{s: ("delimited_text", delimited) for s in (".csv", ".tsv")},
+    ".xlsx": ("openpyxl_xlsx", workbook),
 }
 
 
-def extract(files: DataFrame) -> DataFrame:
-    """Unit rows of supported files (relative_path, content); a failed file gives one row with ``error``."""
+def registry(*more: tuple[str, tuple[str, ...], Parser]) -> dict[str, tuple[str, Parser]]:
+    """The built-in parsers and ``more`` (name, suffixes, parser); a name or a suffix that is taken raises."""
+    out = dict(REGISTRY)
+    names = {name for name, _ in out.values()}
+    for name, suffixes, parser in more:
+        if name in names:
+            raise ValueError(f"parser {name} is registered")
+        names.add(name)
+        for suffix in suffixes:
+            if suffix.lower() in out:
+                raise ValueError(f"two parsers for {suffix}: {out[suffix.lower()][0]} and {name}")
+            out[suffix.lower()] = (name, parser)
+    return out
+
+
+def extract(files: DataFrame, parsers: dict[str, tuple[str, Parser]] | None = None) -> DataFrame:
+    """Unit rows of files (relative_path, content).
+
+    A row is a unit, or an issue that the parser noticed (``issue``; ``text`` is
+    its message), or a file's failure (``error``; ``unsupported`` where no parser
+    takes the suffix).  An empty file of a known kind may have no row.
+    """
+    known = parsers or REGISTRY
+    names = [c.split()[0] for c in UNIT_SCHEMA.split(", ")]
+
+    def rows_of(path: str, content: bytes) -> list[tuple]:
+        dot = path.rfind(".")
+        name, parser = known.get(path[dot:].lower() if dot > path.rfind("/") + 1 else "", (None, None))
+        if parser is None:
+            return [(path, None, None, None, None, None, None, None, "unsupported")]
+        out: list[tuple] = []
+        issues: list[tuple] = []
+        try:
+            for found in parser(content, path):
+                if isinstance(found, Issue):
+                    issues.append((path, name, None, None, found.message, found.locator, json.dumps(found.metadata, ensure_ascii=False, sort_keys=True), found.issue, None))
+                else:
+                    kind, text, at, meta = found
+                    out.append((path, name, len(out), kind, text, at, json.dumps(meta, ensure_ascii=False, sort_keys=True), None, None))
+        except Exception as error:  # the failure is the row
+            kind = error.issue if isinstance(error, WorkbookError) else type(error).__name__
+            return [(path, name, None, None, None, None, None, None, f"{kind}: {str(error).replace(path, '<source>')}"[:500])]
+        return out + issues
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            rows: list[tuple] = []
             for path, content in zip(batch["relative_path"], batch["content"]):
-                dot = path.rfind(".")
-                name, parser = REGISTRY.get(path[dot:].lower() if dot > path.rfind("/") + 1 else "", (None, None))
-                if parser is None:
-                    out.append((path, None, None, None, None, None, None, "unsupported"))
-                    continue
-                try:
-                    units = list(parser(bytes(content), path))
-                    out += [(path, name, i, kind, text, at, json.dumps(meta, ensure_ascii=False, sort_keys=True), None) for i, (kind, text, at, meta) in enumerate(units)]
-                except Exception as error:  # the failure is the row
-                    out.append((path, name, None, None, None, None, None, f"{type(error).__name__}: {error}"[:500]))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in UNIT_SCHEMA.split(", ")])
+                rows += rows_of(path, bytes(content))
+                while len(rows) >= 10_000:
+                    yield pd.DataFrame(rows[:10_000], columns=names).astype({"unit_index": "Int32"})
+                    rows = rows[10_000:]
+            if rows:
+                yield pd.DataFrame(rows, columns=names).astype({"unit_index": "Int32"})
 
     return files.select("relative_path", "content").mapInPandas(run, UNIT_SCHEMA)
-
-
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, required: list[str], unique: str | None = None) -> DataFrame:
-    """Strict reader: blank lines, broken JSON, missing required fields and repeated keys raise."""
-    raw = spark.read.text(path)
-    parsed = raw.select(F.col("value"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"))
-    bad = F.trim("value") == F.lit("")
-    for name in required:
-        bad = bad | F.col(f"r.{name}").isNull()
-    wrong = parsed.filter(bad | F.col("r").isNull()).limit(1).collect()
-    if wrong:
-        raise ValueError(f"{path}: invalid record: {wrong[0]['value'][:200]!r}")
-    rows = parsed.select("r.*")
-    if unique and rows.groupBy(unique).count().filter("count > 1").limit(1).count():
-        raise ValueError(f"{path}: {unique} is repeated")
-    return rows
