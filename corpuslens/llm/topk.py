@@ -19,40 +19,63 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.llm.scratch import stored
 
-NEVER = np.iinfo(np.int64).min + 1
 KEYS = ["query_block", "block"]
 LIST_SCHEMA = "query_block int, block int, query_id long, vec_id long, score long, position int"
 
 
 def quantized(vectors: DataFrame, *, scale: int = 64) -> DataFrame:
-    """``vec_id, vector`` with components floor(scale * x); rows with null or non-finite components are left out."""
+    """``vec_id, vector`` with components floor(scale * x); rows with null or non-finite components are left out, larger ones raise."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     usable = F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    return v.filter(F.coalesce(usable, F.lit(False))).select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("vector"))
+
+    def whole(x: Column) -> Column:
+        outside = (F.abs(x * scale) >= 2.0**63) & (F.abs(x) != F.lit(float("inf"))) & ~F.isnan(x)
+        return F.when(outside, F.raise_error(F.lit("a component is outside the 64-bit integers")).cast("long")).otherwise(F.floor(x * scale).cast("long"))
+
+    return v.filter(F.coalesce(usable, F.lit(False))).select("vec_id", F.transform("v", whole).alias("vector"))
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows as float64; shorter vectors are filled with zeros."""
+    """Rows as int64; shorter vectors are filled with zeros."""
     lists = column.combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     values = lists.flatten().to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes := lists.value_lengths().to_numpy(zero_copy_only=False))
-    out = np.zeros((len(sizes), width))
+    out = np.zeros((len(sizes), width), dtype=np.int64)
     out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(values)) - np.repeat(ends - sizes, sizes)] = values
     return out
 
 
 def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: in float64 where no sum can pass 2**53."""
-    most = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1]
+    """Exact integer inner products: in float64 where no sum can pass 2**53, in Python's integers where one could pass 2**63.
+
+    A score that doesn't fit 64 bits raises ``OverflowError``.
+    """
+    most = math.prod(max(-int(x.min(initial=0)), int(x.max(initial=0))) for x in (queries, rows)) * queries.shape[1]
     if most < 2**53:
-        return (queries @ rows.T).astype(np.int64)
-    return queries.astype(np.int64) @ rows.astype(np.int64).T
+        return (queries.astype(np.float64) @ rows.T.astype(np.float64)).astype(np.int64)
+    if most < 2**63:
+        return queries @ rows.T
+    exact = queries.astype(object) @ rows.T.astype(object)
+    return np.array(exact.tolist(), dtype=np.int64).reshape(exact.shape)
+
+
+def _order(scores: np.ndarray, ids: np.ndarray, own: int, count: int) -> np.ndarray:
+    """Places of the best ``count`` scores of other ids than ``own``, equal ones by ascending id; ``ids`` ascend."""
+    a, z = np.searchsorted(ids, [own, own + 1])
+    free = np.ones(len(ids), dtype=bool)
+    free[a:z] = False
+    places = np.flatnonzero(free)
+    if len(places) > count:
+        least = np.partition(scores[places], len(places) - count)[len(places) - count]
+        places = places[scores[places] >= least]
+    # ~x turns the order of 64-bit integers round without overflow.
+    return places[np.argsort(~scores[places], kind="stable")][:count]
 
 
 def _best(keys: tuple, queries: pa.Table, rows: pa.Table, count: int, later: bool) -> pa.Table:
@@ -67,14 +90,8 @@ def _best(keys: tuple, queries: pa.Table, rows: pa.Table, count: int, later: boo
         last = queries["listed"].to_numpy() if later else None
         for a in range(0, len(names), 256):
             scores = _scores(asked[a : a + 256], data)
-            # One number that orders by score, then by smaller id.
-            ranks = scores * len(ids) + (len(ids) - 1 - np.arange(len(ids)))
-            ranks[ids[None, :] == names[a : a + 256, None]] = NEVER
-            m = min(count, len(ids))
-            top = np.argpartition(-ranks, m - 1, axis=1)[:, :m] if m < len(ids) else np.tile(np.arange(len(ids)), (len(ranks), 1))
-            for r in range(len(ranks)):
-                best = top[r][np.argsort(-ranks[r, top[r]])]
-                best = best[ranks[r, best] > NEVER]
+            for r in range(len(scores)):
+                best = _order(scores[r], ids, int(names[a + r]), count)
                 position = np.arange(1, len(best) + 1)
                 if later:
                     keep = position > last[a + r]
@@ -98,10 +115,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 20, block_rows: in
     query of its own vec_id; ties go to the smaller vec_id; with fewer rows than
     k, all are returned.  Repeated query rows count once, repeated vectors each
     by itself.  Shorter vectors are filled with zeros.  Empty tables give no
-    rows; null ids take no part.
+    rows; null ids take no part; other columns are ignored.
     """
-    vectors = vectors.filter(F.col("vec_id").isNotNull())
-    queries = queries.filter(F.col("vec_id").isNotNull()).distinct()
+    vectors = vectors.select("vec_id", "vector").filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
+    queries = queries.select("vec_id", "vector").filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).distinct()
     n, n_queries = vectors.count(), queries.count()
     blocks, query_blocks = math.ceil(n / block_rows) or 1, math.ceil(n_queries / block_rows) or 1
     first = min(k, max(4, math.ceil(2 * k / blocks)))
