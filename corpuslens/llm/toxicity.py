@@ -1,11 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Tokens of a clause belong to classes: insults (learned stems), threats, targets,
-negations, reports and other words.  Four small transducers read the classes in
-lockstep, which is their composition: one weighs insults and threats, one knows
-whether a target is near, one whether a negation holds, one whether the clause
-reports someone else's words.  A clause's weight is what the composed machine
-emits; a document is scored from its clauses' weights by a logistic curve.
+negations, reports and other words.  Weighted transducers are composed into one
+machine: the first picks an insult or a threat as its hit, the next raises the
+hit near a target, the others lower it behind a negation and in reported speech.
+A clause's weight is the sum over all paths through that machine; a document is
+scored from its clauses' weights by a logistic curve.
 
 Insult stems, their weights and the curve are learned from labelled documents.
 Stems are chosen greedily for the toxic documents they explain, so a word that
@@ -14,6 +14,7 @@ only comes along in copies of one toxic document isn't taken for an insult.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -23,69 +24,140 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Words of the grammar's closed classes (fixed values).
 THREATS = "kill murder hurt destroy burn stab shoot strangle umbringen töten erschlagen verbrennen tuer frapper brûler égorger matar golpear quemar destruir".split()
-INSULTS = (
-    "idiot idiots idiotic moron morons stupid dumb fool loser losers scum trash garbage clown pathetic worthless disgusting imbecile jerk bastard vermin filth"
-    " idiot dummkopf trottel versager abschaum müll ekelhaft wertlos arschloch"
-    " idiote imbécile crétin abruti salaud connard ordure minable dégoûtant"
-    " idiota imbécil estúpido estúpida tonto basura escoria asqueroso inútil"
-).split()
 TARGETS = "you your yours u he she they him her them du dich dir dein ihr euch sie tu toi te vous votre ton ustedes usted tú ti vosotros".split()
 NEGATIONS = "not never no isn't aren't wasn't don't doesn't nicht nie kein keine pas jamais aucun nunca jamás tampoco".split()
 REPORTS = "said says wrote writes claimed quoted reported sagte schrieb behauptete dit écrit affirma dijo escribió afirmó".split()
 BREAKS = ".!?;:,\n"
+BREAK = re.compile(f"[{BREAKS}]")
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
 CLASSES = {w: c for c, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
 TOKEN = re.compile(r"[\w']+")
 
 NEAR = 4  # words over which a target or a negation reaches
-AIMED, NEGATED, REPORTED = 1.5, 0.5, 0.6  # factors on a weight
+AIMED, NEGATED, REPORTED = 1.5, 0.5, 0.6  # factors on a hit
 THREAT_ALONE, THREAT_AIMED = 0.0, 2.0
+HIT_INSULT, HIT_THREAT, DONE = 6, 7, -1
+SYMBOLS = range(6)
 
 
-class Reach:
-    """Transducer with NEAR + 1 states: a token of its class opens it, every other token closes it by one."""
-
-    def __init__(self, kind: int):
-        self.kind = kind
-
-    def step(self, state: int, token: int) -> int:
-        return NEAR if token == self.kind else max(0, state - 1)
-
-
-class Latch:
-    """Transducer with two states: a token of its class closes it until the clause ends."""
-
-    def __init__(self, kind: int):
-        self.kind = kind
-
-    def step(self, state: int, token: int) -> int:
-        return 1 if token == self.kind else state
+@dataclass
+class Transducer:
+    """Weighted finite-state transducer in the real semiring.
 
+    ``arcs[state, symbol]`` lists (next state, output, weight); ``final`` has the
+    weights of states in which a clause may end.  The weight of a clause is the
+    sum over its accepting paths of the products of their arcs' weights.
+    """
 
-AIM, DENIAL, SPEECH = Reach(TARGET), Reach(NEGATION), Latch(REPORT)
+    start: object
+    arcs: dict[tuple, list[tuple]]
+    final: dict
+
+    def then(self, other: Transducer) -> Transducer:
+        """Composition: ``other`` reads what this one writes; weights multiply."""
+        begin = (self.start, other.start)
+        arcs, final, todo, seen = {}, {}, [begin], {begin}
+        symbols = {a for _, a in self.arcs}
+        while todo:
+            p, q = state = todo.pop()
+            if p in self.final and q in other.final:
+                final[state] = self.final[p] * other.final[q]
+            for a in symbols:
+                for p2, b, w in self.arcs.get((p, a), ()):
+                    for q2, c, v in other.arcs.get((q, b), ()):
+                        arcs.setdefault((state, a), []).append(((p2, q2), c, w * v))
+                        if (p2, q2) not in seen:
+                            seen.add((p2, q2))
+                            todo.append((p2, q2))
+        return Transducer(begin, arcs, final)
+
+
+def marker() -> Transducer:
+    """Insult and threat transducers as one: a path picks one insult or threat of the clause as its hit."""
+    arcs: dict[tuple, list[tuple]] = {}
+    for a in SYMBOLS:
+        arcs["before", a] = [("before", a, 1.0)]
+        arcs["after", a] = [("after", a, 1.0)]
+    arcs["before", INSULT].append(("after", HIT_INSULT, 1.0))
+    arcs["before", THREAT].append(("after", HIT_THREAT, 1.0))
+    return Transducer("before", arcs, {"after": 1.0})
+
+
+def aimed() -> Transducer:
+    """Target transducer: a hit weighs more with a target among the ``NEAR`` words before or behind it."""
+    arcs: dict[tuple, list[tuple]] = {}
+    hits = ((HIT_INSULT, 1.0, AIMED), (HIT_THREAT, THREAT_ALONE, THREAT_AIMED))
+    for left in range(NEAR + 1):  # words over which the last target still reaches
+        for a in SYMBOLS:
+            arcs[left, a] = [(NEAR if a == TARGET else max(0, left - 1), a, 1.0)]
+        for hit, _, aim in hits:
+            arcs[left, hit] = [(DONE, hit, aim)] if left else [((hit, NEAR), hit, 1.0)]
+    final = {DONE: 1.0}
+    for a in SYMBOLS:
+        arcs[DONE, a] = [(DONE, a, 1.0)]
+    for hit, alone, aim in hits:
+        for left in range(1, NEAR + 1):  # words in which a target may still come
+            final[hit, left] = alone
+            for a in SYMBOLS:
+                arcs[(hit, left), a] = [(DONE, a, aim) if a == TARGET else ((hit, left - 1), a, 1.0) if left > 1 else (DONE, a, alone)]
+    return Transducer(0, arcs, final)
+
+
+def weakened(kind: int, factor: float, reach: int | None) -> Transducer:
+    """A hit weighs ``factor`` within ``reach`` words behind a word of ``kind``, anywhere behind it if that is None."""
+    arcs: dict[tuple, list[tuple]] = {}
+    for left in range((reach or 1) + 1):
+        for a in SYMBOLS:
+            arcs[left, a] = [((reach or 1) if a == kind else left if reach is None else max(0, left - 1), a, 1.0)]
+        for hit in (HIT_INSULT, HIT_THREAT):
+            arcs[left, hit] = [(DONE, hit, factor if left else 1.0)]
+    for a in SYMBOLS:
+        arcs[DONE, a] = [(DONE, a, 1.0)]
+    return Transducer(0, arcs, {DONE: 1.0})
+
+
+def grammar() -> Transducer:
+    """The composed machine: hits, targets, negation, reported speech."""
+    return marker().then(aimed()).then(weakened(NEGATION, NEGATED, NEAR)).then(weakened(REPORT, REPORTED, None))
+
+
+class Machine:
+    """A composed transducer as one matrix of arc weights for each symbol."""
+
+    def __init__(self, machine: Transducer):
+        states = [machine.start, *sorted({s for arcs in machine.arcs.values() for s, _, _ in arcs} - {machine.start}, key=repr)]
+        at = {s: i for i, s in enumerate(states)}
+        self.steps = [np.zeros((len(states), len(states))) for _ in SYMBOLS]
+        self.hits = [np.zeros((len(states), len(states))) for _ in SYMBOLS]
+        self.final = np.array([machine.final.get(s, 0.0) for s in states])
+        for (s, a), arcs in machine.arcs.items():
+            for t, out, w in arcs:
+                (self.hits if out in (HIT_INSULT, HIT_THREAT) else self.steps)[a][at[s], at[t]] += w
+
+    def weight(self, tokens: list[tuple[int, float]]) -> float:
+        """Sum over all paths through a clause of (class, weight) tokens, by the forward algorithm; an insult's arc has its token's weight too."""
+        v = np.zeros(len(self.final))
+        v[0] = 1.0
+        for kind, weight in tokens:
+            now = v @ self.steps[kind]
+            if kind in (INSULT, THREAT):
+                now += (weight if kind == INSULT else 1.0) * (v @ self.hits[kind])
+            v = now
+        return float(v @ self.final)
+
+
+_MACHINE: list[Machine] = []
 
 
 def clause_weight(tokens: list[tuple[int, float]]) -> float:
-    """Weight that the composed transducers emit for a clause of (class, weight) tokens.
-
-    A target may also follow its insult, so emissions wait until the reach ends.
-    """
-    aim = denial = speech = 0
-    total, waiting = 0.0, []
-    for kind, weight in tokens:
-        aim, denial, speech = AIM.step(aim, kind), DENIAL.step(denial, kind), SPEECH.step(speech, kind)
-        if kind == TARGET:
-            waiting = [(w, w2, n, True) for w, w2, n, _ in waiting]
-        total += sum(w2 if aimed else w for w, w2, n, aimed in waiting if n == 0)
-        waiting = [(w, w2, n - 1, aimed) for w, w2, n, aimed in waiting if n]
-        if kind in (INSULT, THREAT):
-            factor = (NEGATED if denial else 1.0) * (REPORTED if speech else 1.0)
-            plain, aimed = (weight, weight * AIMED) if kind == INSULT else (THREAT_ALONE, THREAT_AIMED)
-            waiting.append((plain * factor, aimed * factor, NEAR, aim > 0))
-    return total + sum(w2 if aimed else w for w, w2, _, aimed in waiting)
+    """Weight that the composed grammar gives a clause."""
+    if not _MACHINE:
+        _MACHINE.append(Machine(grammar()))
+    return _MACHINE[0].weight(tokens)
 
 
 @dataclass
@@ -115,14 +187,12 @@ class Model:
         return out
 
     def features(self, text: str | None) -> tuple[float, float]:
-        """Sum and maximum of the clauses' weights, damped."""
-        text, total, most, end = (text or "").lower(), 0.0, 0.0, -1
-        for hit in self.pattern.finditer(text):
-            if hit.start() < end:
-                continue
-            start = max(text.rfind(c, 0, hit.start()) for c in BREAKS) + 1
-            ends = [p for c in BREAKS if (p := text.find(c, hit.end())) >= 0]
-            end = min(ends, default=len(text))
+        """Sum and maximum of the clauses' weights, damped.  Time grows with the text's length alone, whatever its breaks."""
+        text, total, most, end = (text or "").lower(), 0.0, 0.0, 0
+        while hit := self.pattern.search(text, end):
+            start = max(text.rfind(c, end, hit.start()) for c in BREAKS) + 1
+            stop = BREAK.search(text, hit.end())
+            start, end = max(start, end), stop.start() if stop else len(text)
             w = clause_weight(self.classes(text[start:end]))
             total, most = total + w, max(most, w)
         return math.log1p(total), math.log1p(most)
@@ -140,37 +210,33 @@ def _stems(word: Column) -> Column:
 
 
 def choose(toxic_rows: dict[str, set[int]], clean: dict[str, int], n_toxic: int, n_clean: int, least: int) -> dict[str, float]:
-    """Greedy choice of stems: each must explain at least ``least`` toxic documents that the chosen ones don't."""
-    left, out = set().union(*toxic_rows.values()) if toxic_rows else set(), {}
-    gain = {s: len(rows) for s, rows in toxic_rows.items()}
-    while gain:
-        # Of stems with equal gain and fewest clean documents the longest one.
-        order = lambda s: (gain[s] - 10 * clean.get(s, 0), len(s), s)
-        best = max(gain, key=order)
-        now = len(toxic_rows[best] & left)
-        if now == gain[best]:
-            if now < least:
-                break
-            odds = (len(toxic_rows[best]) + 0.5) / (n_toxic + 1) / ((clean.get(best, 0) + 0.5) / (n_clean + 1))
-            out[best] = math.log(odds)
-            left -= toxic_rows[best]
-            del gain[best]
-        else:
+    """Greedy choice of stems, which must explain toxic documents worth ``least`` together.
+
+    A document is worth one, and half as much again for every chosen stem that
+    it has; so several insults of a document may be learned, but the many words
+    that only copies of one document share are not all taken for insults.
+    """
+    worth, out = dict.fromkeys(set().union(*toxic_rows.values()) if toxic_rows else (), 1.0), {}
+    gain = {s: float(len(rows)) for s, rows in toxic_rows.items()}
+    # Of stems with equal gain and fewest clean documents the longest one; gains only fall, so the heap's are bounds.
+    heap = [(10 * clean.get(s, 0) - g, -len(s), s) for s, g in gain.items()]
+    heapq.heapify(heap)
+    while heap:
+        _, length, best = heapq.heappop(heap)
+        now = sum(worth[i] for i in toxic_rows[best])
+        if now < least:
+            continue
+        if now < gain[best]:
             gain[best] = now
-            if now < least:
-                del gain[best]
+            heapq.heappush(heap, (10 * clean.get(best, 0) - now, length, best))
+            continue
+        odds = (len(toxic_rows[best]) + 0.5) / (n_toxic + 1) / ((clean.get(best, 0) + 0.5) / (n_clean + 1))
+        out[best] = math.log(odds)
+        for i in toxic_rows[best]:
+            worth[i] /= 2
     return {s: w for s, w in out.items() if w > 1}
 
 
-def known_insults(counted: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Weights of the grammar's own insults, with a weak prior; those that clean documents use as often are dropped."""
-    out = {}
-    for w in INSULTS:
-        t, c = counted.get(w, (0, 0))
-        out[w] = math.log((t + 1) / (n_toxic + 2) / ((c + 0.1) / (n_clean + 2)))
-    return {w: x for w, x in out.items() if x > 1}
-
-
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression with a ridge, by Newton steps."""
     a = np.column_stack([np.ones(len(x)), x]) if len(x) else np.zeros((0, 3))
@@ -184,10 +250,12 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return tuple(w.tolist())
 
 
-def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, *, sample_rows: int = 20_000, least: int = 5) -> Model:
+def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, *, sample_rows: int = 20_000, most_stems: int = 4096, least: int = 3) -> Model:
     """Learn from labelled rows (doc_id, toxic), of which at most about ``sample_rows`` are taken, by a hash of doc_id.
 
-    A stem must explain ``least`` documents, and one in 200 toxic ones, by itself.
+    A stem must explain ``least`` documents, and one in 200 toxic ones, by itself;
+    the ``most_stems`` best candidates are compared, so the driver holds at most
+    their rows of the sample.
     ``use`` filters the labelled rows.  Rows without a label, text or doc_id
     teach nothing; without toxic rows the model knows no stems.
     """
@@ -204,16 +272,15 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, *, samp
     sizes = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     least = max(least, math.ceil(sizes.get(1, 0) / 200))
     counts = stems.groupBy("stem").agg(F.sum("toxic").alias("toxic_docs"), F.sum(1 - F.col("toxic")).alias("clean_docs"))
-    counted = {r["stem"]: (r["toxic_docs"], r["clean_docs"]) for r in counts.filter(F.col("stem").isin(INSULTS)).collect()}
-    counts = counts.filter((F.col("toxic_docs") >= least) & (F.col("clean_docs") * 10 <= F.col("toxic_docs"))).toPandas()
+    gain = F.col("toxic_docs") - 10 * F.col("clean_docs")
+    counts = counts.filter((F.col("toxic_docs") >= least) & (F.col("clean_docs") * 10 <= F.col("toxic_docs"))).orderBy(gain.desc(), F.length("stem").desc(), "stem").limit(most_stems).toPandas()
     clean = dict(zip(counts["stem"], counts["clean_docs"].tolist()))
     toxic_rows: dict[str, set[int]] = {}
     if clean:
         wanted = docs.sparkSession.createDataFrame(counts[["stem"]])
         for r in stems.filter("toxic = 1").join(F.broadcast(wanted), "stem").groupBy("stem").agg(F.collect_set("doc_id").alias("ids")).collect():
             toxic_rows[r["stem"]] = set(r["ids"])
-    chosen = choose(toxic_rows, clean, sizes.get(1, 0), sizes.get(0, 0), least)
-    model = Model(known_insults(counted, sizes.get(1, 0), sizes.get(0, 0)) | chosen)
+    model = Model(choose(toxic_rows, clean, sizes.get(1, 0), sizes.get(0, 0), least))
     shared = docs.sparkSession.sparkContext.broadcast((model.stems, model.curve))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,15 +300,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     text alone; all other columns are kept.
     """
     docs = docs.drop("score")
-    names = docs.columns
+    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((model.stems, model.curve))
-    text = names.index("text")
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
             found = [m.score(None if t is None else str(t)) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=schema.names)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "score double"])
-    return docs.mapInArrow(run, schema)
+    # Columns go by place, whatever their names hold.
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(run, schema)
