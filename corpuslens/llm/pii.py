@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from corpuslens.llm.scratch import stored
 
@@ -34,7 +35,26 @@ GIVEN = {
     ("m", "greek"): "Γεώργιος Ιωάννης Κωνσταντίνος Δημήτριος Νικόλαος Παναγιώτης Βασίλειος Χρήστος".split(),
 }
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Señora Sr Sra Господин Госпожа Κύριος Κυρία".split()
-CLASSES = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àâáäéèêëíîïóôöúûüù", "çñß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αειουηω", "βγδζθκλμνξπρστφχψ"]
+CLASSES = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àâáäéèêëíîïóôöúûüù", "çñ", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αειουηω", "βγδζθκλμνξπρστφχψ"]
+# Ranges whose remaining lower-case letters, or letters without case, form a class each (fixed values).
+RANGES = (
+    (0xDF, 0x17F), (0x180, 0x24F), (0x1E00, 0x1EFF), (0x370, 0x3FF), (0x1F00, 0x1FFF), (0x400, 0x52F), (0x560, 0x588), (0x5D0, 0x5EA), (0x621, 0x64A), (0x671, 0x6D3),
+    (0x904, 0x939), (0x985, 0x9B9), (0xA05, 0xA39), (0xB85, 0xBB9), (0xC05, 0xC39), (0xE01, 0xE30), (0x10D0, 0x10FA), (0x1200, 0x1357), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),
+)
+
+
+def _further(taken: set[str]) -> list[str]:
+    """Classes of ``RANGES``; letters that cannot change their case one to one stand apart from the others."""
+    out = []
+    for a, z in RANGES:
+        free = [c for c in map(chr, range(a, z + 1)) if c.isalpha() and c.lower() == c and c not in taken]
+        plain = [c for c in free if len(c.upper()) == 1 and c.upper().lower() == c]
+        out += ["".join(plain), "".join(c for c in free if c not in set(plain))]
+    return [k for k in out if len(k) > 1]
+
+
+CLASSES += _further(set("".join(CLASSES)))
+PLACES = {c: (n, i) for n, k in enumerate(CLASSES) for i, c in enumerate(k)}
 HEX = "0123456789abcdef"
 WIDEN = 12
 RESERVED_DOMAINS = (".example.com", ".example.org", ".example.net", ".test", ".invalid", "@example.com", "@example.org", "@example.net")
@@ -49,11 +69,12 @@ _NUMBERS = re.compile(
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])(?:\d{4}[ -]){3}\d{4}(?![\d-])|(?<!\d)\d{15,16}(?!\d))"
+    r"|(?i:\b(?:phone|telephone|tel|mobile|cell|fax|call)\b[.:]?[ :]{1,2})(?P<number>\d{7,12})(?!\d)"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{2,4}[ .-]\d{3,4}|\d{2,4}[ .-]\d{3,4}[ .-]\d{3,4})(?!\d)|(?<![\w+])\+\d{8,14}(?!\d))"
 )
 _GIVEN = {n: (g, s) for (g, s), names in GIVEN.items() for n in names}
 _NAMES = re.compile(
-    rf"\b(?:(?:{'|'.join(TITLES)})\.?(?P<gap>[  ])(?:(?P<g1>{'|'.join(map(re.escape, _GIVEN))})(?P<gap1>[  ]))?(?P<s1>{_NAME})"
+    rf"\b(?:(?:{'|'.join(TITLES)})\.?(?P<gap>[  ])(?:(?P<g1>{'|'.join(map(re.escape, _GIVEN))})(?P<gap1>[  ]))?(?P<s1>{_NAME})(?:(?P<gap3>[  ])(?!(?:{'|'.join(map(re.escape, _GIVEN))})\b)(?P<s3>{_NAME}))?"
     rf"|(?P<g2>{'|'.join(map(re.escape, _GIVEN))})(?P<gap2>[  ])(?P<s2>{_NAME}))"
 )
 _DIGIT = re.compile(r"\d|@|(?i:password|secret|api[_ -]?key|token)")
@@ -71,15 +92,16 @@ def find(text: str) -> list[tuple[int, int, str]]:
     """
     spans = []
     if _DIGIT.search(text):
-        spans = [(*m.span(m.lastgroup), m.lastgroup) for m in _NUMBERS.finditer(text)]
+        spans = [(*m.span(m.lastgroup), "phone" if m.lastgroup == "number" else m.lastgroup) for m in _NUMBERS.finditer(text)]
     people = []
     for m in _NAMES.finditer(text):
         part = "1" if m["s1"] else "2"
         if _upper(m[f"s{part}"]):
             if m[f"g{part}"]:
                 people.append((*m.span(f"g{part}"), "given"))
-            a, z = m.span(f"s{part}")
-            people.append((a, z - 2 if text[z - 2 : z] in ("'s", "’s") and z - a > 3 else z, "surname"))
+            several = [f"s{part}", "s3"] if part == "1" and _upper(m["s3"] or "") else [f"s{part}"]
+            for a, z in map(m.span, several):
+                people.append((a, z - 2 if text[z - 2 : z] in ("'s", "’s") and z - a > 3 else z, "surname"))
     if people:
         # A name that serves as both is a given name only where it was found as one.
         known = {text[a:z].lower(): k for a, z, k in sorted(people, key=lambda p: p[2])}
@@ -138,18 +160,12 @@ def permute(key: bytes, tweak: str, digits: list[int], radixes: list[int]) -> li
 
 def _shaped(key: bytes, tweak: str, text: str, classes: list[str]) -> str:
     """The text with every character of a class replaced within its class; case and all else stay."""
-    at, digits, kinds = [], [], []
-    for i, c in enumerate(text):
-        for k in classes:
-            if (p := k.find(c.lower())) >= 0:
-                at.append(i)
-                digits.append(p)
-                kinds.append(k)
-                break
-    shape = "".join(str(classes.index(k)) for k in kinds)
+    places = PLACES if classes is CLASSES else {c: (n, i) for n, k in enumerate(classes) for i, c in enumerate(k)}
+    found = [(i, *places[c.lower()]) for i, c in enumerate(text) if c.lower() in places]
+    shape = "".join(str(n) if n < 9 else f"<{n}>" for _, n, _ in found)
     out = list(text)
-    for i, k, d in zip(at, kinds, permute(key, f"{tweak}|{shape}", digits, [len(k) for k in kinds])):
-        out[i] = k[d].upper() if text[i].isupper() else k[d]
+    for (i, n, _), d in zip(found, permute(key, f"{tweak}|{shape}", [p for *_, p in found], [len(classes[n]) for _, n, _ in found])):
+        out[i] = classes[n][d].upper() if text[i].isupper() else classes[n][d]
     return "".join(out)
 
 
@@ -178,7 +194,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     tweak = f"{kind}|{attempt}"
     if kind in ("email", "surname", "secret"):
         local, at, domain = value.partition("@") if kind == "email" else (value, "", "")
-        own = next((k for c in local for k in CLASSES if c.lower() in k), "")
+        own = next((CLASSES[PLACES[c.lower()][0]] for c in local if c.lower() in PLACES), "")
         if not own:  # nothing that could be replaced, as in ******
             n = _round(key, f"{tweak}|{local}", 0)
             local = "".join(CLASSES[2][(n >> 8 * i) % 20] + CLASSES[1][(n >> 8 * i) % 5] for i in range(max(2, min(32, len(local) // 2))))
@@ -295,14 +311,19 @@ def pseudonymize(docs: DataFrame, key: bytes, *, small: int = 50_000) -> DataFra
     """``docs`` with surrogates in ``text``, and a column ``entity_kinds`` (array of kinds in order).
 
     Null texts stay null with no kinds; texts without entities stay as they are;
-    all other columns and repeated rows are kept.  Up to ``small`` collided
+    all other columns and repeated rows are kept, an empty table stays empty, and
+    only a column named ``entity_kinds`` is replaced.  Up to ``small`` collided
     entities (a few megabytes) travel with the tasks; beyond that every row gets
     those of its own text by a join.
     """
     docs = docs.drop("entity_kinds")
-    names = docs.columns
-    text_at = names.index("text")
+    text_at = docs.columns.index("text")
+    schema = StructType([*docs.schema.fields, StructField("entity_kinds", ArrayType(StringType()))])
     retries = stored(collisions(docs, key), "retries")
+    # Columns go by place, whatever their names hold.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    docs = docs.toDF(*names)
+    text = docs[f"c{text_at}"].cast("string")
     few = retries.limit(small + 1).count() <= small
     shared = {r["entity"]: r["attempt"] for r in retries.collect()} if few else {}
     rows = docs
@@ -313,10 +334,10 @@ def pseudonymize(docs: DataFrame, key: bytes, *, small: int = 50_000) -> DataFra
                 found = {(h, f"{k}\t{canonical(k, t[a:z])}") for t, h in zip(*(batch.column(i).to_pylist() for i in range(2))) if t for a, z, k in find(t)}
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string())], names=["text_hash", "entity"])
 
-        hashed = docs.select("text", F.xxhash64("text").alias("text_hash"))
+        hashed = docs.select(text.alias("text"), F.xxhash64(text).alias("text_hash"))
         own = hashed.mapInArrow(mentions, "text_hash long, entity string").distinct().join(retries, "entity")
-        own = own.groupBy("text_hash").agg(F.collect_list("entity").alias("retry_entities"), F.collect_list("attempt").alias("retry_attempts"))
-        rows = docs.withColumn("text_hash", F.xxhash64("text")).join(own, "text_hash", "left").select(*names, "retry_entities", "retry_attempts")
+        own = own.groupBy("text_hash").agg(F.collect_list("entity").alias("entities"), F.collect_list("attempt").alias("attempts"))
+        rows = docs.join(own, F.xxhash64(text) == own["text_hash"], "left").select(*names, "entities", "attempts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,7 +347,6 @@ def pseudonymize(docs: DataFrame, key: bytes, *, small: int = 50_000) -> DataFra
                 extra = [dict(zip(e or [], a or [])) for e, a in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist())]
             done = [(None, []) if t is None else rewrite(key, t, x) for t, x in zip(texts, extra)]
             columns = [pa.array([d[0] for d in done], pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([d[1] for d in done], pa.list_(pa.string()))], names=[*names, "entity_kinds"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([d[1] for d in done], pa.list_(pa.string()))], names=schema.names)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "entity_kinds array<string>"])
     return rows.mapInArrow(run, schema)
