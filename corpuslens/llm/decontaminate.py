@@ -46,12 +46,16 @@ def shingles(text: Column, width: int) -> Column:
 BITMAP_WORDS = 1 << 14  # of 64 bits: 128 KB, whatever the number of items
 
 
+def bit_word(value: Column) -> Column:
+    """Place of a hash's word in the bitmap."""
+    return F.shiftrightunsigned(value, 6).bitwiseAND(F.lit(BITMAP_WORDS - 1)).cast("int")
+
+
 def _bitmap(probe: DataFrame) -> Column:
-    """Constant array of words in which the bit of every probe's hash is set."""
-    word = F.shiftrightunsigned("hash", 6).bitwiseAND(F.lit(BITMAP_WORDS - 1))
+    """Constant array of words in which the bit of every probe's ``hash`` is set."""
     bit = F.expr("shiftleft(1L, CAST(hash & 63 AS INT))")
     words = [0] * BITMAP_WORDS
-    for row in probe.groupBy(word.cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
+    for row in probe.groupBy(bit_word(F.col("hash")).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
         words[row["word"]] = row["bits"]
     return F.from_json(F.lit(str(words)), "array<bigint>")
 
@@ -90,8 +94,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 5, thres
     asked = sets.select("doc_id", bound.alias("bound"), F.transform(sketch, lambda h, i: F.struct(h.alias("hash"), (i + 1).alias("place"))).alias("sketch"), bits.alias("bits"))
 
     def wanted(entry: Column) -> Column:
-        at = F.shiftrightunsigned(entry["hash"], 6).bitwiseAND(F.lit(BITMAP_WORDS - 1)).cast("int")
-        return F.getbit(F.get("bits", at), entry["hash"].bitwiseAND(F.lit(63)).cast("int")) == 1
+        return F.getbit(F.get("bits", bit_word(entry["hash"])), entry["hash"].bitwiseAND(F.lit(63)).cast("int")) == 1
 
     asked = asked.select("doc_id", "bound", F.explode(F.filter("sketch", wanted)).alias("entry")).select("doc_id", "bound", "entry.*")
     found = asked.join(probe, "hash").filter(F.col("place") <= F.ceil(F.col("bound") * F.col("share"))).select("doc_id", "item_id").distinct()

@@ -2,28 +2,33 @@
 
 A multinomial logistic regression over the presence of word unigrams and bigrams
 is trained on cuts of the licence templates below, against paragraphs that use
-similar words for other things; the latter and random mixtures set the bias of
-the ``unknown`` class, so that a paragraph needs several families' words to leave
-it.  A predicted family stands only where a template of that family shares
-enough bigrams with the paragraph.  Paragraphs are single lines, and stretches of
-several lines where a template's bigrams stand close together: wrapped notices.
+similar words for other things.  The ``unknown`` class is then calibrated on cuts
+and paragraphs that training has not seen: a temperature and the class's logit
+minimise their log loss.  A predicted family stands only where a template of
+that family shares enough bigrams with the paragraph, its version numbers among
+them, and where the paragraph doesn't deny the licence.  Paragraphs are single
+lines, and stretches of several lines where a template's bigrams stand close
+together: wrapped notices.
 
 The model, a few thousand weights, is trained on the driver from the templates
 alone.  Documents without any of a few words, one of which every confirmed notice
-has, are left out at first.  The others are scored with DataFrame functions only: n-grams are hashed,
-met with the weights in an equi-join, and summed by paragraph.  N-grams of
-common words carry no weight, so nearly all rows end in that join.
+has, are left out at first.  The others are scored with DataFrame functions only:
+n-grams are hashed, filtered by a bitmap of those that have a weight, met with
+the weights in an equi-join, and summed by paragraph.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuslens.llm.decontaminate import _bitmap, bit_word
 from corpuslens.llm.scratch import stored
 
 UNKNOWN = "unknown"
@@ -44,15 +49,30 @@ TEMPLATES = {
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+        "Licensed under the GPL, version 3.",
     ],
-    "lgpl-3.0": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", "Licensed under the GNU Lesser General Public License, version 3."],
+    "gpl-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "Licensed under the GPL, version 2.",
+    ],
+    "gpl": ["Licensed under the GNU General Public License.", "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/."],
+    "lgpl-2.1": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "Licensed under the GNU Lesser General Public License, version 2.1."],
+    "lgpl-3.0": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.", "Licensed under the GNU Lesser General Public License, version 3."],
     "agpl-3.0": ["This program is licensed under the GNU Affero General Public License, version 3.", "Licensed under the GNU Affero General Public License as published by the Free Software Foundation."],
     "bsd-3-clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
         "Released under the BSD 3-Clause License.",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     ],
+    "bsd-2-clause": ["Released under the BSD 2-Clause License."],
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Released under the ISC License."],
+    "apache-1.1": ["Licensed under the Apache Software License, Version 1.1."],
+    "bsl-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "epl-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "Licensed under the Eclipse Public License, version 2.0."],
+    "unlicense": ["This is free and unencumbered software released into the public domain."],
+    "cc-by-3.0": ["This work is licensed under a Creative Commons Attribution 3.0 Unported License.", "Licensed under CC BY 3.0."],
+    "cc-by-sa-3.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "Licensed under CC BY-SA 3.0."],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."],
     "cc-by-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
     "cc-by-sa-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
@@ -71,6 +91,19 @@ OTHERS = [
     "The above notice was included in the following documentation; the following conditions are met without warranty claims.",
     "MIT researchers and the Mozilla team met at the Apache museum with the GNU herd.",
 ]
+#: Paragraphs of the same kind that only the calibration sees (fixed values).
+UNSEEN = [
+    "Drivers whose license was revoked may apply for a copy under the general terms of the public office.",
+    "The committee granted permission to distribute the final version of the document to any person in attendance.",
+    "All rights of passage were reserved for members of the public who had made a reservation.",
+    "A common source of conflict is the notice period in contracts made under the terms of the foundation.",
+    "Software version 3 ships with a library of general purpose tools, free of charge, for creative work.",
+    "The public license plate database is a domain of the state and not of the commons.",
+    "Merge the files, publish the copy, and include the above list in the program notes.",
+    "Without limitation of speech the author deals with material conditions of attribution in art.",
+]
+#: Words before and in what denies a licence (fixed values).
+DENIALS = [(a, b) for a in ("not", "never", "neither", "nor", "t", "longer") for b in ("licensed", "released", "covered", "distributed", "available", "dedicated")]
 STOP = frozenset("the of to in and a or is this that for on with by be as at an are you it its any all not from was were has have had he she they may can will if no".split())
 
 
@@ -84,12 +117,11 @@ def grams(words: list[str]) -> set[tuple[str, ...]]:
     return {g for g in [*((w,) for w in words), *zip(words, words[1:])] if not STOP.issuperset(g)}
 
 
-def train(seed: int = 11) -> tuple[list[str], dict[tuple[str, ...], np.ndarray], np.ndarray]:
-    """Families, weights by n-gram, and biases; class ``unknown`` is the reference with logit 0."""
+def examples(others: list[str], seed: int, families: list[str]) -> list[tuple[set, int]]:
+    """Grams and class of cuts of all notices, of ``others``, and of mixtures of their words; the last class is ``unknown``."""
     rng = random.Random(seed)
-    families = sorted(TEMPLATES)
     rows: list[tuple[set, int]] = []
-    everyday = [w for o in OTHERS for w in tokens(o)]
+    everyday = [w for o in others for w in tokens(o)]
     for f, notices in TEMPLATES.items():
         for notice in notices:
             words = tokens(notice)
@@ -99,10 +131,60 @@ def train(seed: int = 11) -> tuple[list[str], dict[tuple[str, ...], np.ndarray],
                 extra = rng.choices(everyday, k=rng.randrange(0, 12))
                 rows.append((grams(extra[::2] + kept + extra[1::2]), families.index(f)))
     licensed = [w for n in TEMPLATES.values() for t in n for w in tokens(t)]
-    for o in OTHERS:
+    for o in others:
         rows += [(grams(tokens(o)), len(families))] * 6
     for _ in range(300):  # single licence words in other text
         rows.append((grams(rng.choices(everyday, k=rng.randrange(3, 40)) + rng.sample(licensed, 2)), len(families)))
+    return rows
+
+
+@dataclass(frozen=True)
+class Classifier:
+    """Families, weights by n-gram, biases, and the calibration: logits are divided by ``temperature``, ``unknown`` has the logit ``unknown``."""
+
+    families: list[str]
+    weights: dict[tuple[str, ...], np.ndarray]
+    bias: np.ndarray
+    temperature: float = 1.0
+    unknown: float = 0.0
+
+    def probabilities(self, features: set) -> np.ndarray:
+        """Of all families, and at last of ``unknown``."""
+        z = self.bias + sum((self.weights[g] for g in features if g in self.weights), np.zeros(len(self.bias)))
+        z = np.append(z / self.temperature, self.unknown)
+        p = np.exp(z - z.max())
+        return p / p.sum()
+
+
+def log_loss(model: Classifier, rows: list[tuple[set, int]]) -> float:
+    return -float(np.mean([np.log(max(model.probabilities(f)[label], 1e-300)) for f, label in rows]))
+
+
+def calibrated(model: Classifier, rows: list[tuple[set, int]]) -> Classifier:
+    """``model`` with the temperature and unknown logit of least log loss on ``rows``, by a grid that narrows three times."""
+    plain = Classifier(model.families, model.weights, model.bias)
+    z = np.log(np.array([plain.probabilities(f) for f, _ in rows]) + 1e-300)
+    z = z[:, :-1] - z[:, -1:]
+    y = np.array([label for _, label in rows])
+
+    def loss(t: float, u: float) -> float:
+        s = np.column_stack([z / t, np.full(len(z), u)])
+        s -= s.max(axis=1, keepdims=True)
+        return float(np.mean(np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(s)), y]))
+
+    centre, width = (0.0, 0.0), (1.5, 4.0)
+    for _ in range(4):
+        grid = [(centre[0] + width[0] * a / 6, centre[1] + width[1] * b / 6) for a in range(-6, 7) for b in range(-6, 7)]
+        centre = min(grid, key=lambda g: loss(float(np.exp(g[0])), g[1]))
+        width = (width[0] / 4, width[1] / 4)
+    return Classifier(model.families, model.weights, model.bias, float(np.exp(centre[0])), centre[1])
+
+
+@lru_cache
+def train(seed: int = 11) -> Classifier:
+    """The regression over ``examples``, calibrated on others of its kind that it hasn't seen."""
+    families = sorted(TEMPLATES)
+    rows = examples(OTHERS, seed, families)
     known = sorted(set().union(*(r[0] for r in rows if r[1] < len(families))))
     at = {g: i for i, g in enumerate(known)}
     x = np.zeros((len(rows), len(known)))
@@ -118,7 +200,8 @@ def train(seed: int = 11) -> tuple[list[str], dict[tuple[str, ...], np.ndarray],
         w -= 6.0 * (x.T @ d)
         w = np.sign(w) * np.maximum(np.abs(w) - 6.0 * 2e-5, 0)
         b -= 1.0 * d.sum(axis=0)
-    return families, {g: w[i] for g, i in at.items() if np.abs(w[i]).max() > 0.01}, b
+    model = Classifier(families, {g: w[i] for g, i in at.items() if np.abs(w[i]).max() > 0.01}, b)
+    return calibrated(model, examples(UNSEEN, seed + 1, families))
 
 
 def _hashed(words: Column) -> Column:
@@ -128,11 +211,14 @@ def _hashed(words: Column) -> Column:
     return F.array_distinct(F.concat(one, two))
 
 
-def _model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, list[str], np.ndarray]:
-    """Weights by n-gram hash, template bigrams by hash, families, biases.  Both tables have a fixed size."""
-    families, weights, bias = train()
-    k = len(families)
-    rows = [(g[0], g[1] if len(g) > 1 else None, [float(v) for v in w]) for g, w in weights.items()]
+def _model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, Classifier]:
+    """Weights by n-gram hash, template bigrams by hash, and the model.  Both tables have a fixed size.
+
+    Bigrams that end in a number tell versions apart, so a notice needs all of its own.
+    """
+    model = train()
+    k = len(model.families)
+    rows = [(g[0], g[1] if len(g) > 1 else None, [float(v) / model.temperature for v in w]) for g, w in model.weights.items()]
     raw = spark.createDataFrame(rows, "a string, b string, w array<double>")
     gram = F.when(F.col("b").isNull(), F.xxhash64("a")).otherwise(F.xxhash64("a", "b"))
     table = raw.select(gram.alias("gram"), *[F.get("w", i).alias(f"w{i}") for i in range(k)])
@@ -141,9 +227,9 @@ def _model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, list[str],
         for n, notice in enumerate(notices):
             words = tokens(notice)
             pairs = set(zip(words, words[1:]))
-            shapes += [(f, n, len(pairs), 2 * len(words), a, b) for a, b in pairs]
-    shape = spark.createDataFrame(shapes, "family string, notice int, pairs int, span int, a string, b string")
-    return table, shape.select("family", "notice", "pairs", "span", F.xxhash64("a", "b").alias("gram")), families, bias
+            shapes += [(f, n, len(pairs), sum(b.isdigit() for _, b in pairs), 2 * len(words), a, b, b.isdigit()) for a, b in pairs]
+    shape = spark.createDataFrame(shapes, "family string, notice int, pairs int, numbers int, span int, a string, b string, is_number boolean")
+    return table, shape.select("family", "notice", "pairs", "numbers", "span", "is_number", F.xxhash64("a", "b").alias("gram")), model
 
 
 def anchors(shared: float) -> list[str]:
@@ -188,32 +274,43 @@ def license_paragraphs(docs: DataFrame, *, probability: float = 0.5, shared: flo
     ``similarity`` is the largest share of one notice's bigrams that the
     paragraph has; ``shared`` of them confirm the family.  Null and empty texts
     have no paragraphs; rows with one doc_id are read as one document's
-    paragraphs only if their texts agree.
+    paragraphs only if their texts agree; a long text is as many paragraphs as
+    it has lines; an empty table gives none; other columns are ignored.
     """
-    table, shape, families, bias = _model_tables(docs.sparkSession)
+    spark = docs.sparkSession
+    table, shape, model = _model_tables(spark)
+    families = model.families
+    denials = F.array(*[F.xxhash64(F.lit(a), F.lit(b)) for a, b in DENIALS])
+    weighed = _bitmap(table.select(F.col("gram").alias("hash")).union(shape.select("gram")))
     texts = docs.filter(F.lower("text").rlike(f"(?<![a-z0-9])(?:{'|'.join(anchors(shared))})(?![a-z0-9])"))
     texts = stored(texts.select("doc_id", F.xxhash64("text").alias("version"), "text").dropDuplicates(["doc_id", "version"]), "anchored")
     none = F.lit(-1)
     lines = texts.select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
     lines = lines.select("doc_id", "version", "paragraph", none.alias("first"), none.alias("stop"), F.col("paragraph").alias("last"), _words(F.col("line")).alias("words"))
     where = ["doc_id", "version", "paragraph", "first", "stop", "last"]
-    units = lines.union(_stretches(texts, shape, shared)).select(*where, _hashed(F.col("words")).alias("grams"))
-    seen = units.select(*where, F.explode("grams").alias("gram"))
+    units = lines.union(_stretches(texts, shape, shared)).select(*where, _hashed(F.col("words")).alias("grams"), weighed.alias("weighed"))
+    kept = F.filter("grams", lambda g: F.getbit(F.get("weighed", bit_word(g)), g.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    seen = units.filter(~F.arrays_overlap("grams", denials)).select(*where, F.explode(kept).alias("gram"))
     sums = seen.join(F.broadcast(table), "gram").groupBy(*where).agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(families))])
-    logits = [F.col(f"w{i}") + F.lit(float(bias[i])) for i in range(len(families))]
-    total = F.lit(1.0)
+    logits = [F.col(f"w{i}") + F.lit(float(model.bias[i]) / model.temperature) for i in range(len(families))]
+    total = F.exp(F.lit(model.unknown))
     for z in logits:
         total = total + F.exp(F.least(z, F.lit(500.0)))
     best = F.greatest(*[F.struct(z.alias("z"), F.lit(f).alias("family")) for z, f in zip(logits, families)])
     judged = sums.select(*where, best.alias("best"), total.alias("total")).select(*where, "best.family", (F.exp(F.least(F.col("best.z"), F.lit(500.0))) / F.col("total")).alias("probability"))
     judged = judged.filter(F.col("probability") >= probability)
     found = stored(_confirm(seen, judged, shape, where, shared), "confirmed")
-    return _apart(found).select("doc_id", "paragraph", "family", "probability", "similarity")
+    found = _apart(found)
+    # What names no version belongs to a notice of the same text that names one.
+    versioned = found.filter(F.col("family").startswith("gpl-")).select("doc_id", "version").distinct()
+    bare = found.filter("family = 'gpl'").join(versioned, ["doc_id", "version"], "left_anti").select(*found.columns)
+    return found.filter("family <> 'gpl'").union(bare).select("doc_id", "paragraph", "family", "probability", "similarity")
 
 
 def _confirm(seen: DataFrame, judged: DataFrame, shape: DataFrame, where: list[str], shared: float) -> DataFrame:
     """Keep predictions whose family has a notice with enough of its bigrams in the paragraph."""
-    met = seen.join(judged, where).join(F.broadcast(shape), ["family", "gram"]).groupBy(*where, "family", "probability", "notice", "pairs").agg((F.count("*") / F.col("pairs")).alias("share"), F.count("*").alias("hits"))
+    met = seen.join(judged, where).join(F.broadcast(shape), ["family", "gram"]).groupBy(*where, "family", "probability", "notice", "pairs", "numbers").agg((F.count("*") / F.col("pairs")).alias("share"), F.count("*").alias("hits"), F.count_if("is_number").alias("versions"))
+    met = met.filter("versions = numbers")
     return met.groupBy(*where, "family", "probability").agg(F.max("share").alias("similarity"), F.max("hits").alias("hits")).filter(F.col("similarity") >= shared)
 
 
@@ -248,4 +345,4 @@ def license_documents(docs: DataFrame, **options) -> DataFrame:
     """
     found = license_paragraphs(docs, **options).groupBy("doc_id").agg(F.count("*").alias("n_notices"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.min("probability").alias("probability"))
     ids = docs.select("doc_id").distinct()
-    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), F.coalesce("families", F.lit(UNKNOWN)).alias("families"), "probability")
+    return ids.join(found, ids["doc_id"].eqNullSafe(found["doc_id"]), "left").select(ids["doc_id"], F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), F.coalesce("families", F.lit(UNKNOWN)).alias("families"), "probability")
