@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuslens.llm.scratch import partitions
+from corpuslens.llm.vocab import memo, shipped
 
 BLOCK = 512
 HEAD = struct.Struct("<4sQBB")
@@ -112,10 +113,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
     A segment ends with the document that brings it to ``segment_tokens``.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from corpuslens.llm.vocab import memo
+    vocabulary = shipped(docs.sparkSession, tokenizer_path)
 
-        encoder, end = memo(tokenizer_path), end_id.to_bytes(4, "little")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = end_id.to_bytes(4, "little")
         part, segment, first = TaskContext.get().partitionId(), 0, 0
         ids: list[bytes] = []
         names: list[int | None] = []
@@ -131,17 +132,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
             ids, names, held = [], [], 0
             return out
 
-        for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a in range(0, len(doc_ids), 500):
-                for i, found in zip(doc_ids[a : a + 500], encoder.encode(texts.slice(a, 500).to_pylist())):
-                    ids.append(found + end)
-                    names.append(i)
-                    held += len(found) // 4 + 1
-                if held >= segment_tokens:
-                    yield flush()
-        if ids:
-            yield flush()
+        with memo(vocabulary.value) as encoder:
+            for batch in batches:
+                doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+                for a in range(0, len(doc_ids), 500):
+                    for i, found in zip(doc_ids[a : a + 500], encoder.encode(texts.slice(a, 500).to_pylist())):
+                        ids.append(found + end)
+                        names.append(i)
+                        held += len(found) // 4 + 1
+                    if held >= segment_tokens:
+                        yield flush()
+            if ids:
+                yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
@@ -181,14 +183,29 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return docs.join(part_starts(spark, path), "part").select("doc_id", (F.col("at") + F.col("part_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
-    """Ids at global ``positions`` (column ``position``) without decoding segments; positions outside have none."""
+def token_at(spark: SparkSession, path: str, positions: DataFrame, *, together: int = 10_000) -> DataFrame:
+    """``position, id`` at global ``positions`` (column ``position``) without decoding segments.
+
+    Positions outside the file, and null ones, have no row; repeated ones have
+    one each.  Positions meet the directory of segments by cells of 2**20 ids;
+    then at most about ``together`` of a segment's positions travel with its codes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Codes(r["codes"])[r["within"]] for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["position", "id"])
-
-    segments = _segments(spark, path).join(part_starts(spark, path), "part").select((F.col("part_start") + F.col("first")).alias("start"), "n_tokens", "codes")
-    hit = positions.select(F.col("position").cast("long").alias("position")).join(segments, (F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + F.col("n_tokens")))
-    return hit.select("position", (F.col("position") - F.col("start")).alias("within"), "codes").mapInArrow(run, "position long, id long")
+            for row in batch.to_pylist():
+                codes = Codes(row["codes"])
+                found = [codes[w] for w in row["within"]]
+                yield pa.RecordBatch.from_arrays([pa.array([row["start"] + w for w in row["within"]], pa.int64()), pa.array(found, pa.int64())], names=["position", "id"])
+
+    segments = _segments(spark, path)
+    directory = segments.select("part", "segment", "first", "n_tokens").join(part_starts(spark, path), "part")
+    directory = directory.select("part", "segment", (F.col("part_start") + F.col("first")).alias("start"), "n_tokens").filter("n_tokens > 0")
+    cells = directory.withColumn("cell", F.explode(F.sequence(F.shiftright("start", 20), F.shiftright(F.col("start") + F.col("n_tokens") - 1, 20))))
+    positions = positions.select(F.col("position").cast("long").alias("position"))
+    asked = positions.distinct().withColumn("cell", F.shiftright("position", 20))
+    hit = asked.join(cells, "cell").filter((F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + F.col("n_tokens"))).select("part", "segment", "start", (F.col("position") - F.col("start")).alias("within"))
+    slices = hit.groupBy("part", "segment").agg(F.ceil(F.count("*") / together).alias("slices"))
+    grouped = hit.join(slices, ["part", "segment"]).groupBy("part", "segment", "start", F.pmod(F.xxhash64("within"), F.col("slices")).alias("slice")).agg(F.collect_list("within").alias("within"))
+    found = grouped.join(segments.select("part", "segment", "codes"), ["part", "segment"]).select("start", "within", "codes").mapInArrow(run, "position long, id long")
+    return positions.join(found, "position")

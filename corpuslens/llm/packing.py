@@ -22,6 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.vocab import memo, shipped
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, cost double"
 
 
@@ -70,10 +72,10 @@ def pack(docs: DataFrame, tokenizer_path: str, *, sequence_tokens: int = 2048, e
     keep the order of reading.  ``sequence_id`` is unique, not dense.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from corpuslens.llm.vocab import memo
+    vocabulary = shipped(docs.sparkSession, tokenizer_path)
 
-        encoder, end = memo(tokenizer_path), end_id.to_bytes(4, "little")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = end_id.to_bytes(4, "little")
         next_id = TaskContext.get().partitionId() << 32
         ids: list[bytes] = []
         names: list[int | None] = []
@@ -104,16 +106,17 @@ def pack(docs: DataFrame, tokenizer_path: str, *, sequence_tokens: int = 2048, e
             ids, names, held = [], [], 0
             return out
 
-        for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a in range(0, len(doc_ids), 500):
-                for i, found in zip(doc_ids[a : a + 500], encoder.encode(texts.slice(a, 500).to_pylist())):
-                    ids.append(found + end)
-                    names.append(i)
-                    held += len(found) // 4 + 1
-                if held >= block_tokens:
-                    yield flush()
-        if ids:
-            yield flush()
+        with memo(vocabulary.value) as encoder:
+            for batch in batches:
+                doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+                for a in range(0, len(doc_ids), 500):
+                    for i, found in zip(doc_ids[a : a + 500], encoder.encode(texts.slice(a, 500).to_pylist())):
+                        ids.append(found + end)
+                        names.append(i)
+                        held += len(found) // 4 + 1
+                    if held >= block_tokens:
+                        yield flush()
+            if ids:
+                yield flush()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)

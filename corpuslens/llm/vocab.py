@@ -11,11 +11,17 @@ unusual white space) are encoded whole, so results always equal
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
+from pyspark import Broadcast
+from pyspark.sql import SparkSession
 
 # Latin letters with code points below U+0100; all of them are \p{L}.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -24,6 +30,7 @@ _SIMPLE = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
 _CONTROLS = "\x1c\x1d\x1e\x1f"
 _RARE = "\t\x0b\x0c\r\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B))) + _CONTROLS
 _RUNS = ("  ", " \n", "\n ", "\n\n")
+PART = 1 << 20  # characters encoded at once
 # Byte-level vocabularies show the bytes 127 to 160 and 173 as the characters from U+0121 on.
 _SHOWN = {b: 0x121 + i for i, b in enumerate([*range(127, 161), 173])}
 
@@ -31,15 +38,16 @@ _SHOWN = {b: 0x121 + i for i, b in enumerate([*range(127, 161), 173])}
 class WordMemo:
     """Encoder of whole texts into little-endian ``uint32`` id bytes.
 
-    ``path`` names a ``tokenizers`` JSON file; ``limit`` bounds the memo (about
-    200 bytes an entry). Null and empty texts give no ids.
+    ``json`` is the content of a ``tokenizers`` file; ``limit`` bounds the memo
+    (about 200 bytes an entry). Null and empty texts give no ids; long ones are
+    encoded in parts of about ``PART`` characters, cut at white space.
     """
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, json: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(json)
         self.limit = limit
         # A pre-tokeniser that drops white space makes a word's ids independent of what precedes it.
         self.spaced = bool(self._whole(" a") != self._whole("a"))
@@ -87,16 +95,43 @@ class WordMemo:
             return any(c in text for c in _CONTROLS)
         return text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _RARE) or any(c in text for c in _RUNS)
 
+    def forget(self) -> None:
+        """Drop all pieces."""
+        self.after_space.clear()
+        self.after_break.clear()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, four bytes each."""
+        out: list[bytes] = []
+        group: list[str | None] = []
+        held = 0
+        for text in chain(texts, [None]):
+            if text is not None and len(text) > PART:
+                out += self._encode(group)
+                group, held = [], 0
+                out.append(self._whole(text) if self._odd(text) else b"".join(self._plain([part])[0] for part in parts(text)))
+                continue
+            group.append(text)
+            held += len(text or "")
+            if held >= PART:
+                out += self._encode(group)
+                group, held = [], 0
+        return (out + self._encode(group))[: len(texts)]
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        odd = {i for i, t in enumerate(texts) if t and self._odd(t)}
+        out = self._plain([None if i in odd else t for i, t in enumerate(texts)])
+        for i in odd:
+            out[i] = self._whole(texts[i])
+        return out
+
+    def _plain(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of texts that may be cut at their white space."""
         out: list[bytes] = [b""] * len(texts)
         rows, firsts = [], []
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if self._odd(text):
-                out[i] = self._whole(text)
-                continue
             if self.lower:
                 text = text.lower()
             if self.spaced:
@@ -146,11 +181,39 @@ class _Both(dict):
         return self.known[key]
 
 
-_MEMOS: dict[str, WordMemo] = {}
+def parts(text: str) -> Iterator[str]:
+    """Parts of about ``PART`` characters; each but the first begins with the blank or line end where it was cut."""
+    at = 0
+    while len(text) - at > PART:
+        cuts = [c for c in (text.find(" ", at + PART), text.find("\n", at + PART)) if c >= 0]
+        if not cuts:
+            break
+        yield text[at : min(cuts)]
+        at = min(cuts)
+    yield text[at:]
+
 
+def shipped(spark: SparkSession, path: str) -> Broadcast:
+    """A vocabulary file, read by the driver and sent to the executors: a few megabytes, whatever the input's size."""
+    with open(path, encoding="utf-8") as f:
+        return spark.sparkContext.broadcast(f.read())
 
-def memo(path: str) -> WordMemo:
-    """One encoder for each Python worker and vocabulary."""
-    if path not in _MEMOS:
-        _MEMOS[path] = WordMemo(path)
-    return _MEMOS[path]
+
+_LAST: dict[str, WordMemo] = {}
+
+
+@contextmanager
+def memo(json: str) -> Iterator[WordMemo]:
+    """The worker's encoder for the length of a task.
+
+    Workers serve many tasks and stages, so the learned pieces go when a task
+    ends, and only the last vocabulary stays loaded.
+    """
+    key = hashlib.blake2b(json.encode()).hexdigest()
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = WordMemo(json)
+    try:
+        yield _LAST[key]
+    finally:
+        _LAST[key].forget()
