@@ -326,3 +326,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["sample", "--source", str(source), "--out", str(out / "sample"), "--formats", "pdf,.csv"], spark) == 0
     assert cli.main(["scan", "--source", str(tmp_path / "absent"), "--out", str(out / "s")], spark) == 2
     assert cli.main(["search", "--index", str(out / "index"), "--query", " "], spark) == 2
+
+
+def test_streamed_postings_equal_the_batch(spark, tmp_path):
+    from corpuslens.functions import text as X
+    from corpuslens.streaming.index import stream_postings
+
+    schema = "chunk_id string, text string"
+    chunks = spark.createDataFrame([("c1", "One two two"), ("c2", "two, three-four")], schema)
+    chunks.write.parquet(str(tmp_path / "in"))
+    for _ in range(2):  # the second run finds nothing new
+        stream_postings(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select("record", "token", "tf")
+    want = S.postings(chunks.select(F.col("chunk_id").alias("record"), X.word_tokens(X.normalize(F.col("text"))).alias("tokens")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
