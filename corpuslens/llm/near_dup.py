@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.scratch import stored
+from corpuslens.llm.scratch import by_bytes, remove, stored, stored_at
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
@@ -40,7 +40,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS: dict[str, np.ndarray] = {}
+_CHUNK = 1 << 20  # bytes whose polynomials are summed at once
+_POWERS: list[np.ndarray] = []
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -49,14 +50,40 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the polynomial's base and of its inverse modulo 2**64."""
-    if len(_POWERS.get("up", ())) < n:
-        for name, base in (("up", _BASE), ("down", _UNBASE)):
-            steps = np.full(n, base)
+def _powers() -> list[np.ndarray]:
+    """``_CHUNK`` powers of the polynomial's base and of its inverse modulo 2**64."""
+    if not _POWERS:
+        for base in (_BASE, _UNBASE):
+            steps = np.full(_CHUNK, base)
             steps[0] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"], _POWERS["down"]
+            _POWERS.append(np.cumprod(steps))
+    return _POWERS
+
+
+def _polynomials(b: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of each word, from ``first`` to ``end``: the sum of its bytes' numbers times the base's powers from 0 on.
+
+    Words are taken in stretches of at most ``_CHUNK`` bytes, a longer word in
+    parts, so the working arrays have a fixed size.
+    """
+    (up, down), out, at = _powers(), np.zeros(len(first), dtype=np.uint64), 0
+    while at < len(first):
+        a = int(first[at])
+        z = int(np.searchsorted(end, a + _CHUNK, side="right"))
+        if z == at:  # one word of more than a stretch
+            total = 0
+            for p in range(a, int(end[at]), _CHUNK):
+                part = b[p : min(p + _CHUNK, int(end[at]))]
+                total += int((_BYTE[part] * up[: len(part)]).sum(dtype=np.uint64)) * pow(int(_BASE), p - a, 2**64)
+            out[at] = total % 2**64
+            at += 1
+            continue
+        part = b[a : int(end[z - 1])]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[part] * up[: len(part)], out=sums[1:])
+        out[at:z] = (sums[end[at:z] - a] - sums[first[at:z] - a]) * down[first[at:z] - a]
+        at = z
+    return out
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -68,12 +95,9 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     raw = [b" " if t is None else t.encode("utf-8", "surrogatepass") + b" " for t in texts]
     starts = np.cumsum([0, *(len(r) for r in raw)])
     b = _LOWER[np.frombuffer(b" " + b"".join(raw), np.uint8)]
-    up, down = _powers(len(b) + 1)
     blank = _BLANK[b]
     first, end = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
-    sums = np.zeros(len(b) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
-    words = _mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
+    words = _mix(_polynomials(b, first, end) + (end - first).astype(np.uint64))
     cuts = np.searchsorted(first, starts + 1)
     joined = np.zeros(max(0, len(words) - width + 1), dtype=np.uint64)
     for k in range(width):
@@ -126,7 +150,7 @@ def parities(u: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-BASE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, sketch array<int>, bits array<long>, a array<long>, b array<long>"
+BASE_SCHEMA = "doc_id long, version long, n_shingles long, h1 long, h2 long, sketch array<int>, bits array<long>, a array<long>, b array<long>"
 
 
 def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tuple[int, int]) -> DataFrame:
@@ -134,8 +158,7 @@ def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                part = batch.slice(at, 250)
+            for part in by_bytes(batch, 1):
                 sets = shingle_sets(part.column(1).to_pylist(), width)
                 with np.errstate(over="ignore"):
                     h1 = [int(_mix(u).sum(dtype=np.uint64).view(np.int64)) for u in sets]
@@ -143,11 +166,11 @@ def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tup
                 bands = [_bands(u, counts, widths) if len(u) else (None, None, None) for u in sets]
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(u) for u in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([x[0] for x in bands], pa.list_(pa.int32())), pa.array([parities(u) for u in sets], kind), pa.array([x[1] for x in bands], kind), pa.array([x[2] for x in bands], kind)],
-                    names=["doc_id", "n_shingles", "h1", "h2", "sketch", "bits", "a", "b"],
+                    [part.column(0), part.column(2), pa.array([len(u) for u in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([x[0] for x in bands], pa.list_(pa.int32())), pa.array([parities(u) for u in sets], kind), pa.array([x[1] for x in bands], kind), pa.array([x[2] for x in bands], kind)],
+                    names=["doc_id", "version", "n_shingles", "h1", "h2", "sketch", "bits", "a", "b"],
                 )
 
-    return docs.mapInArrow(run, BASE_SCHEMA)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("version")).mapInArrow(run, BASE_SCHEMA)
 
 
 def _sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -155,8 +178,7 @@ def _sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                part = batch.slice(at, 250)
+            for part in by_bytes(batch, 1):
                 sets = shingle_sets(part.column(1).to_pylist(), width)
                 h1 = [int(_mix(u).sum(dtype=np.uint64).view(np.int64)) for u in sets]
                 # Another row of the same doc_id may hold another text.
@@ -188,7 +210,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``edges`` (x, y); the root is a component's smallest node."""
-    edges = stored(edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y").distinct(), "edges")
+    spark = edges.sparkSession
+    edges, path = stored_at(edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y").distinct(), "edges")
     before = None
     while True:
         # Large star: neighbours above a node move to its smallest neighbour.
@@ -199,17 +222,22 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y")
         low = down.groupBy("x").agg(F.min("y").alias("m"))
         small = down.join(low, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).union(low.select("x", F.col("m").alias("y")))
-        edges = stored(small.filter("x <> y").distinct(), "edges")
         # Sums that stay the same mean that no edge changed.
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
+        seen = Observation()
+        new = small.filter("x <> y").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")).alias("sum"))
+        edges, new_path = stored_at(new, "edges")
+        remove(spark, path)
+        path, now = new_path, seen.get
+        if now == before or not now["n"]:
             break
         before = now
     return edges.select(F.col("x").alias("node"), F.col("y").alias("root")).union(edges.select("y", "y").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, widths: tuple[int, int] = (2, 3), miss: float = 1e-4, orders: int = 3) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (doc_id, text).
+    """``doc_id, n_shingles, component_id, kept, version`` for each row of ``docs`` (doc_id, text).
+
+    ``version`` is the text's xxhash64, which tells rows of one doc_id apart.
 
     Documents are linked where 100 * intersection >= percent * union of their
     shingle sets; ``component_id`` is the smallest doc_id reachable.  Texts
@@ -277,10 +305,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     of_class = classes.select("cid", "h1", "h2", "lead_doc").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     first_doc = of_class.groupBy("root").agg(F.min("lead_doc").alias("component"))
     named = of_class.join(first_doc, "root").select("h1", "h2", "component")
-    out = base.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
+    out = base.select("doc_id", "version", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "version")
 
 
 def least_agreement(similarity: float, n: int, miss: float) -> int:
@@ -327,7 +355,10 @@ def _likely(pairs: DataFrame, shapes: DataFrame, percent: int, needed: int) -> D
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` whose document stays: one document of each component, all columns kept.
 
-    Rows that share the kept doc_id but not its text go with their own component.
+    Rows that share the kept doc_id but not its text go with their own
+    component; rows equal in both are one document and stay or go together.
+    Null and empty texts stay, as do rows without a doc_id.
     """
-    judged = near_duplicates(docs, **options).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(judged, "doc_id", "left_anti").select(*docs.columns)
+    judged = near_duplicates(docs, **options).filter("NOT kept").select("doc_id", "version").distinct()
+    same = (docs["doc_id"].cast("long") == judged["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == judged["version"])
+    return docs.join(judged, same, "left_anti")

@@ -186,7 +186,7 @@ FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id =
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpuslens.llm.near_dup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, widths=(3, 3))
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, widths=(3, 3)).drop("version")
 
 
 @query("op6_license_classifier")

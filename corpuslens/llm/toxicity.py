@@ -238,8 +238,10 @@ def choose(toxic_rows: dict[str, set[int]], clean: dict[str, int], n_toxic: int,
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression with a ridge, by Newton steps."""
-    a = np.column_stack([np.ones(len(x)), x]) if len(x) else np.zeros((0, 3))
+    """Logistic regression with a ridge, by Newton steps; the default curve without rows to fit."""
+    if not len(x):
+        return Model().curve
+    a = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
@@ -257,7 +259,8 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, *, samp
     the ``most_stems`` best candidates are compared, so the driver holds at most
     their rows of the sample.
     ``use`` filters the labelled rows.  Rows without a label, text or doc_id
-    teach nothing; without toxic rows the model knows no stems.
+    teach nothing; without toxic rows the model knows no stems, and without any
+    rows its curve scores texts without hits near 0.
     """
     labels = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     if use is not None:

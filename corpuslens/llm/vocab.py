@@ -43,7 +43,7 @@ class WordMemo:
     encoded in parts of about ``PART`` characters, cut at white space.
     """
 
-    def __init__(self, json: str, limit: int = 250_000):
+    def __init__(self, json: str, limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -14,6 +14,11 @@ from corpuslens.llm.scratch import shared_folder
 ODD = [None, "", " ", "a  b", " a", "a ", "x\ty", "a\n\nb", "Été, ça va?", "日本語 text", "don't", "ΣΑΣ Σ", "1234 +1 (5)", "<|endoftext|>", "w " * 3000]
 
 
+def content(name):
+    with open(vocabulary(name), encoding="utf-8") as f:
+        return f.read()
+
+
 def docs(spark, texts):
     rows = [(i, t, "extra") for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, "doc_id long, text string, score string")
@@ -21,7 +26,7 @@ def docs(spark, texts):
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_memo_equals_the_library(name):
-    memo = vocab.WordMemo(vocabulary(name), limit=20)
+    memo = vocab.WordMemo(content(name), limit=20)
     rng = random.Random(1)
     texts = ODD + [" ".join(rng.choice(["the", "Haus.", "été,", "42", "foo###", "it's"]) for _ in range(30)) for _ in range(20)]
     for _ in range(2):
@@ -30,8 +35,22 @@ def test_memo_equals_the_library(name):
             assert ids == np.array(memo.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_in_parts_equal_the_library(name, monkeypatch):
+    rng = random.Random(2)
+    texts = ["\n".join(" ".join(rng.choice(["the", "Haus.", "été,", "42", "it's"]) for _ in range(rng.randrange(1, 9))) for _ in range(40)) for _ in range(5)] + ["x" * 300, "Σ " * 60, None, ""]
+    monkeypatch.setattr(vocab, "PART", 50)
+    memo = vocab.WordMemo(content(name))
+    for t, ids in zip(texts, memo.encode(texts), strict=True):
+        assert ids == np.array(memo.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes()
+    with vocab.memo(content(name)) as used:
+        used.encode(texts)
+        assert used.after_space
+    assert not used.after_space and not used.after_break
+
+
 def test_packing_covers_every_id_once(spark):
-    memo = vocab.WordMemo(vocabulary("byte_bpe_50k.json"))
+    memo = vocab.WordMemo(content("byte_bpe_50k.json"))
     rows = packing.pack(docs(spark, ODD + ODD), vocabulary("byte_bpe_50k.json"), sequence_tokens=256).collect()
     by_doc, by_sequence = {}, {}
     for r in rows:
@@ -66,16 +85,57 @@ def test_codes_round_trip_and_random_access(bits):
 def test_token_files(spark):
     path = shared_folder(spark, "t")
     direct_codes.write_tokens(docs(spark, ODD), path, vocabulary("word_bpe_49k.json"), segment_tokens=50)
-    memo, at = vocab.WordMemo(vocabulary("word_bpe_49k.json")), 0
+    memo, at = vocab.WordMemo(content("word_bpe_49k.json")), 0
     rows = sorted(direct_codes.read_documents(spark, path).collect())
     every = b""
     for r, t in zip(rows, ODD, strict=True):
         ids = memo.encode([t])[0] + (2).to_bytes(4, "little")
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) // 4, zlib.crc32(ids))
         at, every = at + r.n_tokens, every + ids
-    asked = spark.createDataFrame([(0,), (5,), (at - 1,), (at,)], "position long")
     want = np.frombuffer(every, "<u4")
-    assert {r.position: r.id for r in direct_codes.token_at(spark, path, asked).collect()} == {p: int(want[p]) for p in (0, 5, at - 1)}
+    places = [*range(0, at, 3), 0, 0, at - 1]
+    asked = spark.createDataFrame([(p,) for p in (*places, at, -1, None)], "position long")
+    got = direct_codes.token_at(spark, path, asked, together=4)
+    assert sorted((r.position, r.id) for r in got.collect()) == sorted((p, int(want[p])) for p in places)
+
+
+def test_token_files_of_repeated_rows_and_none(spark):
+    rows = docs(spark, ["a b", "a b", None]).withColumn("doc_id", F.lit(4).cast("long")).withColumn("tie", F.lit(1)).withColumn("first", F.lit(2))
+    path = shared_folder(spark, "t")
+    direct_codes.write_tokens(rows, path, vocabulary("word_bpe_49k.json"))
+    got = sorted((r.doc_id, r.start, r.n_tokens) for r in direct_codes.read_documents(spark, path).collect())
+    assert [g[0] for g in got] == [4, 4, 4] and got[0][1] == 0 and all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:]))
+    direct_codes.write_tokens(rows.limit(0), path := shared_folder(spark, "t"), vocabulary("word_bpe_49k.json"))
+    assert direct_codes.read_documents(spark, path).count() == 0 and direct_codes.token_at(spark, path, spark.range(3).toDF("position")).count() == 0
+
+
+def test_assignment_takes_the_cheapest_sequence_with_room():
+    """The placement rule, replayed naively: longest first, to the cheapest sequence that has room."""
+    rng = random.Random(13)
+    for _ in range(40):
+        lengths = [rng.randrange(1, 90) for _ in range(rng.randrange(1, 30))]
+        size = rng.choice([16, 32, 64])
+        room = packing.capacities(sum(lengths), size)
+        assert sum(room) == sum(lengths)
+        pieces = packing.assign(lengths, size)
+        spent, whole = [0.0] * len(room), 0
+        for d, n in enumerate(lengths):
+            for start in range(0, n - n % size, size):
+                assert (d, start, size, whole, 0) in pieces
+                room[whole], spent[whole] = 0, packing.cost(size, size)
+                whole += 1
+        rests = sorted(((n % size, d, n - n % size) for d, n in enumerate(lengths) if n % size), key=lambda x: (-x[0], x[1]))
+        want = []
+        for n, d, start in rests:
+            while n:
+                fits = [s for s in range(len(room)) if room[s] >= n]
+                s = min(fits, key=lambda s: (spent[s], s)) if fits else max(range(len(room)), key=lambda s: (room[s], -s))
+                take = min(n, room[s])
+                want.append((d, start, take, s))
+                room[s] -= take
+                spent[s] += packing.cost(take, size)
+                n, start = n - take, start + take
+        assert [p[:4] for p in pieces if p[2] != size or p[1] % size or (p[0], p[1]) not in {(d, k) for d, n in enumerate(lengths) for k in range(0, n - n % size, size)}] == want
 
 
 def brute_components(texts, width, percent):
@@ -126,6 +186,24 @@ def test_open_buckets_alone_find_the_links_across(spark):
     assert [r.component_id for r in rows] == root
 
 
+def test_word_polynomials_in_stretches(monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join("ab"[rng.randrange(2)] * rng.randrange(1, 40) for _ in range(200)), "z" * 500, "one two three four five six"]
+    whole = near_dup.shingle_sets(texts, 3)
+    monkeypatch.setattr(near_dup, "_CHUNK", 16)
+    monkeypatch.setattr(near_dup, "_POWERS", [])
+    for a, b in zip(whole, near_dup.shingle_sets(texts, 3), strict=True):
+        assert (a == b).all()
+
+
+def test_deduplicate_tells_texts_of_one_id_apart(spark):
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = spark.createDataFrame([(5, a), (6, a), (1, b), (5, b), (None, a), (8, None), (9, ""), (1, b)], "doc_id long, text string").withColumn("version", F.lit(1)).withColumn("kept", F.lit("x"))
+    kept = near_dup.deduplicate(rows)
+    assert kept.columns == rows.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, a), (1, b), (1, b), (None, a), (8, None), (9, "")], key=str)
+
+
 def test_language(spark):
     en, de, ru = "the cat sat on that mat with them", "der Hund und die Katze sind nicht hier", "это просто русский текст"
     rows = [(i, t, lang) for i, (t, lang) in enumerate([(en, "en"), (de, "de"), (ru, "ru")] * 5)]
@@ -137,6 +215,31 @@ def test_language(spark):
     assert {r.lang_pred for r in language.detect(asked, language.train(asked.withColumn("lang", F.lit(None).cast("string")))).collect()} == {"und"}
 
 
+def test_words_and_scripts():
+    points, starts = language._points(["Don’t «stop»—now", "привет世界 ქართ", None])
+    first, end, kind = language._words(points)
+    assert ["".join(map(chr, points[a:z])) for a, z in zip(first, end)] == ["don", "t", "stop", "now", "привет", "世界", "ქართ"]
+    assert kind.tolist() == [1, 1, 1, 1, 3, 14, 11]
+    assert np.diff(np.searchsorted(first, starts)).tolist() == [4, 3, 0]
+
+
+def test_word_scores_in_stretches(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = language.Model(["a", "b"], rng.normal(size=(language.SIZE, 2)).astype(np.float32), np.ones((language.SCRIPTS, 2), bool))
+    texts = ["some words and оч long ones of sixteen letters: abcdefghijklmnopqrst", "x", "", "世界abc"]
+    whole = language.word_scores(model, texts)
+    monkeypatch.setattr(language, "CHUNK", 7)
+    for a, b in zip(whole, language.word_scores(model, texts), strict=True):
+        assert np.allclose(a, b, atol=1e-4)
+
+
+def test_more_languages_than_a_byte_holds(spark):
+    rows = [(i, f"{chr(97 + i // 26)}{chr(97 + i % 26)}q " * 5, f"l{i:03d}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.detect(frame, language.train(frame)).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 295
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(5)
     counts = np.array([3, 0, 5, 1])
@@ -156,6 +259,43 @@ def test_licences(spark):
     assert [got[i].families for i in range(6)] == ["apache-2.0", "mit", "cc-by-nc-4.0", "unknown", "unknown", "unknown"]
 
 
+@pytest.mark.parametrize("text, family", [("Licensed under the GPL, version 2.", "gpl-2.0"), ("Licensed under the GPL, version 3.", "gpl-3.0"), ("Released under the BSD 2-Clause License.", "bsd-2-clause"), ("Released under the BSD 3-Clause License.", "bsd-3-clause"), ("Licensed under CC BY 3.0.", "cc-by-3.0"), ("Licensed under CC BY 4.0.", "cc-by-4.0"), ("Licensed under the Apache Software License, Version 1.1.", "apache-1.1"), ("This work is not licensed under the GNU General Public License, version 3.", "unknown"), ("It isn't released under the MIT License.", "unknown"), ("Licensed under the GNU Lesser General Public License, version 2.1.", "lgpl-2.1"), ("Licensed under the GNU General Public License, version 9.", "unknown")])
+def test_versions_and_denials(texts_judged, text, family):
+    got = texts_judged[text]
+    assert got == family or family == "unknown" and got == "gpl" and "version 9" in text
+
+
+@pytest.fixture(scope="module")
+def texts_judged(spark):
+    texts = [m for m in (p for mark in test_versions_and_denials.pytestmark for p, _ in mark.args[1])]
+    return {texts[r.doc_id]: r.families for r in license.license_documents(docs(spark, texts)).collect()}
+
+
+def test_licences_of_odd_rows(spark):
+    notice = "Licensed under the Apache License, Version 2.0."
+    long = "plain words of nothing\n" * 20_000 + notice
+    rows = docs(spark, [long, notice, None, "", "w " * 5000]).withColumn("family", F.lit(1)).withColumn("gram", F.lit(2))
+    rows = rows.union(rows.filter("doc_id = 1")).union(rows.limit(1).withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit(notice)))
+    got = {r.doc_id: (r.families, r.n_notices) for r in license.license_documents(rows).collect()}
+    assert got == {0: ("apache-2.0", 1), 1: ("apache-2.0", 1), 2: ("unknown", 0), 3: ("unknown", 0), 4: ("unknown", 0), None: got[None]}
+    assert license.license_documents(rows.limit(0)).count() == 0
+
+
+def test_classifier_equals_its_tables_and_is_calibrated(spark):
+    """Brute force of the native scores, and the log loss on paragraphs that neither training nor calibration has seen."""
+    model = license.train()
+    texts = ["Released under the MIT License.", "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."]
+    got = {r.doc_id: (r.family, r.probability) for r in license.license_paragraphs(docs(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        p = model.probabilities(license.grams(license.tokens(text)))
+        assert got[i][0] == model.families[p.argmax()] and got[i][1] == pytest.approx(p.max(), abs=1e-9)
+    rows = license.examples(license.UNSEEN, 99, model.families)
+    plain = license.Classifier(model.families, model.weights, model.bias)
+    assert license.log_loss(model, rows) < license.log_loss(plain, rows) and license.log_loss(model, rows) < 0.15
+    wrong = [label for f, label in rows if model.probabilities(f).argmax() != label]
+    assert len(wrong) < 0.05 * len(rows)
+
+
 def test_every_short_notice_in_both_cases(spark):
     notices = {"This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "All rights reserved.": "proprietary", "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2.0"}
     texts = [f"some prose\n{n}\nmore of it" for n in notices]
@@ -188,6 +328,24 @@ def test_top_k_equals_brute_force(spark):
     assert [tuple(r) for r in got] == want
 
 
+def test_top_k_of_large_and_equal_scores(spark):
+    rows = [(i, [7_000_000] * 64) for i in range(300)]
+    v = spark.createDataFrame(rows, "vec_id long, vector array<bigint>")
+    got = topk.top_k(v, v.filter("vec_id = 5").union(v.filter("vec_id = 5")).withColumn("score", F.lit(1)), k=4).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 64 * 7_000_000**2) for i in (0, 1, 2, 3)]
+    most = np.array([[2**62, 2**62 - 1]])
+    assert topk._scores(most, np.array([[1, 1], [-1, -1]])).tolist() == [[2**63 - 1, 1 - 2**63]]
+    with pytest.raises(OverflowError):
+        topk._scores(most, np.array([[2, 2]]))
+    assert topk._order(np.array([-(2**63), 2**63 - 1, 5, 5]), np.array([1, 2, 3, 4]), 3, 3).tolist() == [1, 3, 0]
+
+
+def test_top_k_of_few_and_no_rows(spark):
+    v = spark.createDataFrame([(1, [1]), (2, [3]), (2, [3]), (3, None), (None, [9])], "vec_id long, vector array<bigint>")
+    assert sorted(tuple(r) for r in topk.top_k(v, v.filter("vec_id = 1")).collect()) == [(1, 1, 2, 3), (1, 2, 2, 3)]
+    assert topk.top_k(v.limit(0), v).count() == 0 and topk.top_k(v, v.limit(0)).count() == 0
+
+
 def test_decontamination(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     bench = spark.createDataFrame([(7, item), (8, None), (9, "")], "item_id long, text string")
@@ -206,6 +364,33 @@ def test_decontamination_of_repetitive_documents(spark):
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i // 10) for i in range(1000)]
 
 
+def test_decontamination_equals_brute_force(spark):
+    """Items of several sizes, at several containments; odd rows; names that clash."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [" ".join(word() for _ in range(n)) for n in (5, 6, 9, 14, 30, 80, 200, 5, 3)] + [None, "", "..."]
+    texts = ODD + ["w " * 4000]
+    for k in range(60):
+        cut = items[k % 9].split()
+        for _ in range(k % 5):
+            cut[rng.randrange(len(cut))] = "X"
+        texts.append(" ".join([word() for _ in range(rng.randrange(400))] + cut + [word() for _ in range(rng.randrange(50))]))
+    shingled = lambda t: {tuple(w[i : i + 5]) for w in [[x for x in "".join(c if c.isalnum() else " " for c in t.lower()).split()]] for i in range(max(1, len(w) - 4)) if w}
+    want = set()
+    for i, t in enumerate(texts):
+        for j, item in enumerate(items):
+            a, b = shingled(t or ""), shingled(item or "")
+            if b and len(a & b) >= 0.8 * len(b):
+                want.add((i, j, len(a & b), len(b)))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").withColumn("hash", F.lit(1)).withColumn("share", F.lit(2))
+    rows = docs(spark, texts + texts).withColumn("sorted", F.lit(0)).withColumn("doc_id", F.col("doc_id") % len(texts))
+    got = decontaminate.contaminated(rows, bench)
+    assert {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got.collect()} == want and len(want) > 15
+    clean = decontaminate.decontaminate(rows, bench)
+    assert clean.columns == rows.columns and clean.count() == 2 * (len(texts) - len({w[0] for w in want}))
+    assert decontaminate.contaminated(rows.limit(0), bench).count() == 0 and decontaminate.contaminated(rows, bench.limit(0)).count() == 0
+
+
 def test_url_rules(spark):
     urls = ["http://Example.com/en/a", "http://www.example.com/en/", "http://a.net/fr/x?y", "x", None, "http://b.com", "ftp://badexample.com/en/", "http://n.net/de/"]
     pages = spark.createDataFrame(list(enumerate(urls)) + [(1, urls[1])], "page_id long, url string")
@@ -220,8 +405,49 @@ def test_toxicity(spark):
     model = toxicity.train(docs(spark, texts), labels)
     got = {r.doc_id: r.score for r in toxicity.score(docs(spark, [texts[0], "new zorgling9 here", "you idiot!", None, ""]), model).collect()}
     assert got[1] > 0.5 > got[0] and got[3] == got[4] < 0.5
-    plain, aimed, denied = ([(toxicity.INSULT, 2.0)], [(toxicity.TARGET, 0.0), (toxicity.INSULT, 2.0)], [(toxicity.NEGATION, 0.0), (toxicity.INSULT, 2.0)])
-    assert toxicity.clause_weight(denied) < toxicity.clause_weight(plain) < toxicity.clause_weight(aimed)
+
+
+def brute_paths(machine, tokens):
+    """Weight of a clause by listing all paths of the composed transducer."""
+    paths = [(machine.start, 1.0)]
+    for kind, weight in tokens:
+        paths = [(t, w * v * (weight if out == toxicity.HIT_INSULT else 1.0)) for s, w in paths for t, out, v in machine.arcs.get((s, kind), ())]
+    return sum(w * machine.final.get(s, 0.0) for s, w in paths)
+
+
+def brute_grammar(tokens):
+    """The same weight from the rules themselves."""
+    total = 0.0
+    for i, (kind, weight) in enumerate(tokens):
+        if kind in (toxicity.INSULT, toxicity.THREAT):
+            kinds = [k for k, _ in tokens]
+            near = toxicity.TARGET in kinds[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]
+            factor = toxicity.AIMED if near else 1.0
+            if kind == toxicity.THREAT:
+                weight, factor = 1.0, toxicity.THREAT_AIMED if near else toxicity.THREAT_ALONE
+            denied = toxicity.NEGATION in kinds[max(0, i - toxicity.NEAR) : i]
+            total += weight * factor * (toxicity.NEGATED if denied else 1.0) * (toxicity.REPORTED if toxicity.REPORT in kinds[:i] else 1.0)
+    return total
+
+
+def test_composed_grammar_equals_path_enumeration():
+    rng, machine = random.Random(6), toxicity.grammar()
+    for _ in range(200):
+        tokens = [(k, round(rng.uniform(0.5, 4), 2) if k == toxicity.INSULT else 0.0) for k in rng.choices(range(6), weights=(2, 1, 1, 1, 1, 4), k=rng.randrange(14))]
+        assert toxicity.clause_weight(tokens) == pytest.approx(brute_paths(machine, tokens)) == pytest.approx(brute_grammar(tokens))
+
+
+def test_toxicity_of_odd_rows(spark):
+    model = toxicity.Model({"zorg*": 3.0, "bah": 2.0})
+    long = "zorgle you " * 200_000  # one clause without a break
+    rows = docs(spark, [None, "", " ", "\n", "!!!", "ZORGLE", long, "bah. " * 1000]).withColumn("a b", F.struct(F.lit(1).alias("x y"))).withColumn("x.y`z", F.lit(1))
+    scored = toxicity.score(rows, model)
+    assert scored.columns == ["doc_id", "text", "a b", "x.y`z", "score"] and scored.schema["a b"].dataType == rows.schema["a b"].dataType
+    got = {r.doc_id: r.score for r in scored.select("doc_id", "score").collect()}
+    assert got[0] == got[1] == got[2] == got[3] == got[4] < 0.5 < got[6] and got[7] > 0.5
+    assert toxicity.score(rows.limit(0), model).count() == 0
+    none = toxicity.train(docs(spark, ["a"]), spark.createDataFrame([], "doc_id long, toxic int"))
+    assert none.stems == {} and toxicity.score(rows, none).filter("score >= 0.5").count() == 0
 
 
 def test_surrogates(spark):
@@ -273,6 +499,37 @@ def test_later_mentions_of_a_person():
     assert new.endswith(" and a smith.") and not any(n in new for n in ("Anna", "ANNA", "Smith", "SMITH", "Lee"))
 
 
+@pytest.mark.parametrize("name", ["Łukaszčžš", "Παπαδοπούλου", "Подъячев", "Straße", "王小明", "שלמה", "محمود", "김민준"])
+def test_no_letter_of_a_name_stays(name):
+    new = pii.surrogate(b"k", "surname", name.lower())
+    kept = [a for a, b in zip(name.lower(), new) if a == b and a.isalpha() and a not in "ςß"]
+    assert len(new) == len(name) and len(kept) <= 1 and new != name.lower()
+    assert [pii.PLACES.get(c, (0,))[0] for c in new] == [pii.PLACES.get(c, (0,))[0] for c in name.lower()]
+
+
+def test_two_names_behind_a_title_and_plain_phones():
+    new, kinds = pii.rewrite(b"k", "Mrs Priya Natarajan called; tel: 5435559258. Priya left. Order 5435559258 stays.", {})
+    assert kinds == ["surname", "surname", "phone", "surname"] and "Priya" not in new and "Natarajan" not in new and new.endswith("Order 5435559258 stays.")
+
+
+def test_given_names_keep_gender_and_script():
+    for (gender, script), names in pii.GIVEN.items():
+        made = [pii.surrogate(b"k", "given", n) for n in names]
+        assert sorted(made) == sorted(names) and not any(a == b for a, b in zip(made, names)), (gender, script)
+
+
+def test_full_format_of_names(spark):
+    """All consonant-vowel surnames exist, so none of their own format is free: surrogates widen and stay apart."""
+    names = [f"{c}{v}".title() for c in "bcdfghjklmnpqrstvwxyz" for v in "aeiou"]
+    rows = docs(spark, [f"Mr {n}" for n in names]).withColumn("text_hash", F.lit(1)).withColumn("entities", F.lit("e")).withColumn("entity_kinds", F.lit(0)).withColumn("a.`b", F.struct(F.lit(1).alias("x y")))
+    small, joined = (pii.pseudonymize(rows, b"k", small=n) for n in (50_000, 0))
+    made = [r.text.removeprefix("Mr ").lower() for r in small.orderBy("doc_id").collect()]
+    assert len(set(made)) == len(names) and not {m.title() for m in made} & set(names)
+    assert [tuple(r) for r in joined.orderBy("doc_id").collect()] == [tuple(r) for r in small.orderBy("doc_id").collect()]
+    assert small.columns == [*[c for c in rows.columns if c != "entity_kinds"], "entity_kinds"]
+    assert pii.pseudonymize(rows.limit(0), b"k").count() == 0
+
+
 def test_permutation_is_one():
     seen = {tuple(pii.permute(b"k", "t", [a, b, c], [10, 5, 3])) for a in range(10) for b in range(5) for c in range(3)}
     assert len(seen) == 150
