@@ -21,7 +21,7 @@ from corpuslens.operators import items as I
 from corpuslens.operators import quality as V
 from corpuslens.operators import search as S
 from corpuslens.operators import summaries as M
-from corpuslens.plans.stages import run_stages
+from corpuslens.plans.stages import environment, strict_gate
 from corpuslens.sources import parsers, readers, sinks
 
 INPUT_ERRORS = (FileNotFoundError, NotADirectoryError, FileExistsError, ValueError)
@@ -195,19 +195,13 @@ def rebuild(spark: SparkSession, a: argparse.Namespace) -> dict:
     done["audit"] = audit(spark, step(input=f"{a.out}/extraction", out=f"{a.out}/audit"))
     done["chunk"] = chunk(spark, step(input=f"{a.out}/extraction", out=f"{a.out}/chunks"))
     done["validate"] = validate(spark, step(extraction=f"{a.out}/extraction", input=f"{a.out}/chunks", out=f"{a.out}/validation"))
-    wrong = {"failed_files": done["extract"].get("failed_files", 0), "validation_errors": done["validate"]["errors"]}
-    if a.strict and any(wrong.values()):
-        raise ValueError(f"the corpus is not clean: {wrong}")
+    if a.strict:
+        strict_gate({"failed_files": done["extract"].get("failed_files", 0), "validation_errors": done["validate"]["errors"]})
     done["index"] = index(spark, step(input=f"{a.out}/chunks", out=f"{a.out}/index", overwrite=True))
-    sinks.write_json(spark, f"{a.out}/manifest.json", done)
+    sinks.write_json(spark, f"{a.out}/manifest.json", done | {"environment": environment(spark)})
     return done
 
 
-def stages(spark: SparkSession, source: DataFrame, steps: list, folder: str, **settings) -> DataFrame:
-    """Resumable stages (see ``plans.stages``) over any table."""
-    return run_stages(spark, source, steps, folder, settings)[0]
-
-
 def _parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="corpuslens", description=__doc__.splitlines()[0])
     commands = out.add_subparsers(dest="command", required=True)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Token shapes of the search index (fixed values).
 GROUPED_NUMBER = r"\d{1,3}(?:,\d{3})+(?:\.\d+)?"
 CJK = r"[ぁ-んァ-ンー一-龯々〆ヶ]+"
+# Characters that NFKC leaves and that fold as they are lower-cased, but for ß (fixed values).
+UNCHANGED = r"\x00-\x7F¡-§©«¬®°±¶·»¿À-ÿŒœŠšŽžŸ–—‘’‚“”„†‡•‹›€"
 WORD_TOKEN = rf"{GROUPED_NUMBER}|[a-z0-9]+(?:[._/-][a-z0-9]+)*|{CJK}"
 # Metadata that context text may show (fixed values).
 CONTEXT_KEYS = ("heading", "heading_path", "json_pointer", "headers", "cell_type", "output_type")
@@ -30,10 +32,14 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(lines, r"(?U)(?m)^[^\S\n]+|[^\S\n]+$", ""), r"(?U)\A\s+|\s+\z", "")
 
 
-def normalize(text: Column, *, latin_only: bool = False) -> Column:
-    """NFKC, case folding and white space; ``latin_only`` stays in the JVM where NFKC changes nothing and only ß folds apart."""
-    folded = F.replace(F.lower(text), F.lit("ß"), F.lit("ss")) if latin_only else _fold(text)
-    return squeeze(folded)
+def normalize(text: Column) -> Column:
+    """NFKC, case folding and white space.
+
+    Texts of ``UNCHANGED`` characters alone, which NFKC leaves and of which only ß
+    folds apart, stay in the JVM; the others are folded in Python.
+    """
+    plain = text.rlike(rf"\A[{UNCHANGED}]*\z")
+    return squeeze(F.when(plain, F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))).otherwise(_fold(F.when(~plain, text))))
 
 
 def word_tokens(normalized: Column) -> Column:

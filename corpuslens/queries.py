@@ -37,15 +37,15 @@ r_{d} AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DE
 
 
 def _content(spark, sf_dir):
-    docs = S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(F.col("text"), latin_only=True)).alias("tokens"))
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), X.word_tokens(X.normalize(F.col("text"), latin_only=True)).alias("tokens"))
+    docs = S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(F.col("text"))).alias("tokens"))
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), X.word_tokens(X.normalize(F.col("text"))).alias("tokens"))
     return docs, asked
 
 
 def _context(spark, sf_dir):
     path = F.concat("source", F.lit("/"), F.col("doc_id"), F.lit(".txt"))
     line = X.context_text(path, F.lit("plain_text"), F.lit("text"), F.concat(F.lit("line:1-"), F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1))
-    return S.spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(line, latin_only=True)).alias("tokens"))
+    return S.spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(F.col("doc_id").alias("record"), X.word_tokens(X.normalize(line)).alias("tokens"))
 
 
 CONTEXT = "'file=' || doc_id || '.txt' || chr(10) || 'path=' || source || '/' || doc_id || '.txt' || chr(10) || 'parser=plain_text' || chr(10) || 'unit=text' || chr(10) || 'locator=line:1-' || (length(text) - length(replace(text, chr(10), '')) + 1)"
@@ -54,7 +54,7 @@ DOC_TOKENS, ITEM_TOKENS = _rows("d", "doc_id", "text", "documents"), _rows("q",
 
 @query("normalize_text", f"SELECT doc_id, {NORM.format('text')} AS normalized FROM documents")
 def _(spark, sf_dir):
-    return S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalize(F.col("text"), latin_only=True).alias("normalized"))
+    return S.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalize(F.col("text")).alias("normalized"))
 
 
 @query("word_tokens", f"WITH {DOC_TOKENS} SELECT k AS doc_id, t AS token, count(*) AS n FROM t_d GROUP BY k, t")

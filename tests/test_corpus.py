@@ -300,6 +300,16 @@ def test_stages_resume_and_refuse(spark, tmp_path):
         stages.run_stages(spark, spark.range(5), steps, str(tmp_path / "run"), {"v": 1})
     with pytest.raises(stages.FingerprintMismatch):
         stages.run_stages(spark, spark.range(4), steps, str(tmp_path / "run"), {"v": 2})
+    broken = [("fails", lambda df: df.select("absent"))]
+    with pytest.raises(Exception, match="absent"):
+        stages.run_stages(spark, spark.range(2), broken, str(tmp_path / "other"))
+    assert stages._status(spark, str(tmp_path / "other" / "fails.status"))["status"] == "failed"
+    out, status = stages.run_stages(spark, spark.range(2), broken, str(tmp_path / "other"), skip=frozenset({"fails"}))
+    assert out.count() == 2 and status[0].status == "skipped"
+    out, status = stages.run_stages(spark, spark.range(2), [("fails", lambda df: df)], str(tmp_path / "other"))
+    assert status[0].status == "success" and stages.environment(spark)["spark"] == spark.version
+    with pytest.raises(ValueError):
+        stages.strict_gate({"a": 0, "b": 2})
 
 
 def test_command_line(spark, tmp_path, capsys):

@@ -41,6 +41,26 @@ def test_tokens_and_normalizer(spark):
     assert got == ["ticket", "qx-77", "qx", "77", "billed", "12,345,678.25", "12345678.25", "12", "345", "678", "25", "max_retry_count", "max", "retry", "count", "r3.14", "r3", "14", "abc", "請求先", "gr", "sse", "a/b", "a", "b"]
 
 
+def test_normalizer_equals_the_standard_library(spark):
+    import random
+    import re
+    import unicodedata
+
+    rng = random.Random(17)
+    pools = ["abc XYZ\t\n", "ÀÉîß ÿŒš–“", "ﬁ①Ⅷ㎏ｱ½ ²…", "ΣσςΑ ΐ", "İıŞ", "é\u0301a\u0308", "한글カﾞ", "\x0b\x0c\r\u00a0\u2003", "𝔘𝟙"]
+    texts = ["".join(rng.choices(rng.choice(pools) + rng.choice(pools), k=rng.randrange(25))) for _ in range(400)] + ["", None]
+
+    def brute(t):
+        if t is None:
+            return None
+        t = unicodedata.normalize("NFKC", t).casefold().replace("\r\n", "\n").replace("\r", "\n")
+        return "\n".join(re.sub(r"[ \t\f\v]+", " ", line).strip() for line in t.split("\n")).strip()
+
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.normalize(F.col("t")).alias("n")).orderBy("i").collect()
+    wrong = [(t, r.n, brute(t)) for t, r in zip(texts, got, strict=True) if r.n != brute(t)]
+    assert not wrong, wrong[:3]
+
+
 def test_fusion_and_ranks(spark):
     rows = [(1, "a", 10, 1), (1, "a", 11, 2), (1, "b", 11, 1), (1, "b", 10, 2)]
     got = S.fuse(spark.createDataFrame(rows, "query int, channel string, record int, rank int"), 5).orderBy("rank").collect()
