@@ -49,7 +49,8 @@ def _further(taken: set[str]) -> list[str]:
     for a, z in RANGES:
         free = [c for c in map(chr, range(a, z + 1)) if c.isalpha() and c.lower() == c and c not in taken]
         plain = [c for c in free if len(c.upper()) == 1 and c.upper().lower() == c]
-        out += ["".join(plain), "".join(c for c in free if c not in set(plain))]
+        paired = set(plain)
+        out += ["".join(plain), "".join(c for c in free if c not in paired)]
     return [k for k in out if len(k) > 1]
 
 
