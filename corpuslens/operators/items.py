@@ -165,9 +165,12 @@ def ocr_units(regions: DataFrame, *, unit_type: str = "image_ocr_text") -> tuple
     read = regions.withColumn("text", ocr_text(F.coalesce("text", F.lit(""))))
     kept = (F.col("text") != "") & (F.col("confidence") >= MIN_CONFIDENCE)
     entry = F.when(kept, F.struct("position", "text", "confidence"))
+    # Decimal sums are the same in any order; a mean at the threshold must not depend on it.
+    exact = F.when(kept, F.col("confidence").try_cast("decimal(20,15)"))
+    mean = F.when(F.count(exact) == F.count(entry), F.try_divide(F.sum(exact).cast("double"), F.count(exact))).otherwise(F.avg(F.when(kept, F.col("confidence"))))
     image = read.groupBy("path", "locator").agg(
         F.array_sort(F.collect_list(entry)).alias("kept"), F.count("*").alias("recognized_region_count"), F.count_if((F.col("text") != "") & ~kept).alias("excluded_low_confidence_region_count"),
-        F.avg(F.when(kept, F.col("confidence"))).alias("mean_confidence"), F.min(F.when(kept, F.col("confidence"))).alias("minimum_confidence"), F.max(F.when(kept, F.col("confidence"))).alias("maximum_confidence"),
+        mean.alias("mean_confidence"), F.min(F.when(kept, F.col("confidence"))).alias("minimum_confidence"), F.max(F.when(kept, F.col("confidence"))).alias("maximum_confidence"),
     )
     text = F.array_join(F.transform("kept", lambda r, i: F.concat(F.lit("領域"), i + 1, F.lit(": "), r["text"])), "\n")
     image = image.withColumn("text", text).withColumn("included_region_count", F.size("kept").cast("long"))

@@ -365,3 +365,26 @@ def test_a1_columns_beyond_three_letters(spark, tmp_path):
     spark.createDataFrame([(0,), (27,), (18278,), (18279,), (20000,)], "p_partkey long").write.parquet(str(tmp_path / "part.parquet"))
     got = sorted(tuple(r) for r in QUERIES["a1_columns"](spark, str(tmp_path)).collect())
     assert got == [(27, "AA", 27), (18278, "ZZZ", 18278), (18279, "AAA", 18279), (20000, "COF", 20000)]
+
+
+def test_ocr_issues_of_many_regions(spark, tmp_path):
+    from corpuslens.queries import QUERIES
+
+    # Image 60 has over 500 regions; its confidences are 0.6 and 0.1, which is left out.
+    rows = spark.range(0, 1200).select((F.col("id") * 150 + 60).alias("p_partkey"), F.lit("b").alias("p_brand"))
+    rows.write.parquet(str(tmp_path / "part.parquet"))
+    assert QUERIES["ocr_issues"](spark, str(tmp_path)).count() == 0
+    regions = spark.range(600).select(F.lit("i").alias("path"), F.lit("image:1").alias("locator"), F.col("id").cast("int").alias("position"), F.lit("x").alias("text"), F.lit(0.9).alias("confidence"))
+    assert [r.issue for r in I.ocr_units(regions)[1].collect()] == ["ocr_region_metadata_truncated"]
+
+
+def test_mean_confidence_is_the_same_in_any_order(spark):
+    # The mean is exactly 0.5; as doubles, these sum to less in this order.
+    values = [0.21, 0.23, 0.27, 0.29, 0.71, 0.73, 0.77, 0.79] * 3
+    means = set()
+    for given in (values, values[::-1], sorted(values)):
+        rows = spark.createDataFrame([("i", "image:1", n, "x", c) for n, c in enumerate(given)], "path string, locator string, position int, text string, confidence double").coalesce(1)
+        units, issues = I.ocr_units(rows)
+        means.add(units.first().mean_confidence)
+        assert issues.count() == 0
+    assert means == {0.5}
