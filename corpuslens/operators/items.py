@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import visible_length
+from corpuslens.operators.search import by_key
 
 # Labels of items, thresholds of pages, documents and regions, image limits (fixed values).
 HEADINGS = ("section_header", "title", "heading")
@@ -72,19 +73,34 @@ def pdf_units(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return units, found.unionByName(whole)
 
 
-def _table_rows(items: DataFrame, unit_type: str, keep: list[str]) -> DataFrame:
+def _unit(sub_index: Column, unit_type: Column | str, text: Column, locator: Column, headers: Column | None = None, values: Column | None = None, row: Column | None = None) -> Column:
+    none = F.lit(None)
+    lists = [(none if c is None else c).cast("array<string>").alias(n) for c, n in ((headers, "headers"), (values, "values"))]
+    kind = F.lit(unit_type) if isinstance(unit_type, str) else unit_type
+    return F.struct(sub_index.cast("int").alias("sub_index"), kind.alias("unit_type"), text.alias("text"), locator.alias("locator"), *lists, (none if row is None else row).cast("int").alias("logical_row_number"))
+
+
+def _table_units(unit_type: str, place: Column) -> Column:
     """A table item's own unit and one for each of its rows but the first, which names the columns."""
-    table = items.filter(F.col("text") != "")
-    headers = F.coalesce(F.get("table_data", F.lit(0)), F.array().cast("array<string>"))
+    data = F.coalesce("table_data", F.array().cast("array<array<string>>"))
+    headers = F.coalesce(F.get(data, F.lit(0)), F.array().cast("array<string>"))
     named = F.size(headers) > 0
-    table = table.withColumn("headers", headers).withColumn("first", F.when(named, 2).otherwise(1))
-    own = table.select(*keep, F.lit(0).alias("sub_index"), F.lit(unit_type).alias("unit_type"), "text", F.col("place").alias("locator"), "headers", F.lit(None).cast("array<string>").alias("values"), F.lit(None).cast("int").alias("logical_row_number"))
-    rows = table.select(*keep, "headers", "place", "first", F.posexplode(F.when(named, F.slice("table_data", F.lit(2), F.size("table_data"))).otherwise(F.col("table_data"))).alias("at", "cells"))
-    rows = rows.withColumn("row", F.col("at") + F.col("first")).withColumn("shown", F.transform("cells", stripped)).filter(F.exists("shown", lambda v: v != ""))
-    line = F.concat(F.lit("行"), F.col("row"), F.lit(": "), F.array_join("shown", " | "))
-    text = F.when(F.size("headers") > 0, F.concat(F.lit("列: "), F.array_join("headers", " | "), F.lit("\n"), line)).otherwise(line)
-    each = rows.select(*keep, F.col("row").alias("sub_index"), F.lit(f"{unit_type}_row").alias("unit_type"), text.alias("text"), F.concat("place", F.lit("/row:"), F.col("row")).alias("locator"), "headers", F.col("cells").alias("values"), F.col("row").alias("logical_row_number"))
-    return own.unionByName(each)
+    body = F.when(named, F.slice(data, F.lit(2), F.size(data))).otherwise(data)
+    shown = F.transform(body, lambda cells, at: F.struct((at + F.when(named, 2).otherwise(1)).alias("row"), cells.alias("cells"), F.transform(cells, stripped).alias("shown")))
+
+    def unit(r: Column) -> Column:
+        line = F.concat(F.lit("行"), r["row"], F.lit(": "), F.array_join(r["shown"], " | "))
+        text = F.when(named, F.concat(F.lit("列: "), F.array_join(headers, " | "), F.lit("\n"), line)).otherwise(line)
+        return _unit(r["row"], f"{unit_type}_row", text, F.concat(place, F.lit("/row:"), r["row"]), headers, r["cells"], r["row"])
+
+    filled = F.filter(shown, lambda r: F.exists(r["shown"], lambda v: v != ""))
+    return F.concat(F.array(_unit(F.lit(0), unit_type, F.col("text"), place, headers)), F.transform(filled, unit))
+
+
+def _exploded(routed: DataFrame, keep: list[str], is_table: Column, text_unit: Column, table_units: Column) -> DataFrame:
+    """Units of items with text; one pass, as windows behind two branches would run twice."""
+    made = F.when(is_table, table_units).otherwise(F.array(text_unit))
+    return routed.filter(F.col("text") != "").select(*keep, F.explode(made).alias("u")).select(*keep, "u.*")
 
 
 def heading_paths(items: DataFrame, levels: int = 9) -> DataFrame:
@@ -97,26 +113,30 @@ def heading_paths(items: DataFrame, levels: int = 9) -> DataFrame:
     heading = F.lower("label").isin(*HEADINGS) & F.col("level").isNotNull()
     checked = F.when(F.col("level").between(1, levels), F.col("level")).otherwise(F.raise_error(F.concat(F.lit("heading level "), F.col("level"))).cast("int"))
     level = F.when(heading, checked)
-    found = []
+    last, found = [], []
     for n in range(1, levels + 1):
-        last = F.last(F.when((level == n) & (F.col("text") != ""), F.struct(F.col("item_index").alias("at"), F.col("text").alias("name"))), ignorenulls=True).over(so_far)
-        ended = F.max(F.when(level <= n, F.col("item_index"))).over(so_far)
-        found.append(F.when(last["at"] == ended, last["name"]))
-    return items.withColumn("heading_path", F.filter(F.array(*found), lambda t: t.isNotNull()))
+        name = F.when(F.col("text") != "", F.col("text"))
+        last.append(F.last(F.when(level == n, F.struct(F.col("item_index").alias("at"), name.alias("name"))), ignorenulls=True).over(so_far).alias(f"_last{n}"))
+    items = items.select("*", *last)
+    ats = [F.col(f"_last{n}.at") for n in range(1, levels + 1)]
+    for n in range(1, levels + 1):
+        ended = F.greatest(*ats[:n]) if n > 1 else ats[0]
+        found.append(F.when(ats[n - 1] == ended, F.col(f"_last{n}.name")))
+    items = items.withColumn("heading_path", F.filter(F.array(*found), lambda t: t.isNotNull()))
+    return items.drop(*[f"_last{n}" for n in range(1, levels + 1)])
 
 
 def docx_units(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Units and issues of word-processor items (path, item_index, label, text, level, table_data)."""
-    items = items.withColumn("text", stripped(F.coalesce("text", F.lit(""))))
+    items = by_key(items.withColumn("text", stripped(F.coalesce("text", F.lit("")))), "path")
     is_table = F.col("table_data").isNotNull() | F.lower("label").isin(*TABLES)
     is_heading = F.lower("label").isin(*HEADINGS)
     before = Window.partitionBy("path").orderBy("item_index").rowsBetween(Window.unboundedPreceding, 0)
     routed = heading_paths(items).withColumn("table_index", F.sum(F.when(is_table & ~is_heading, 1).otherwise(0)).over(before))
     keep = ["path", "item_index", "heading_path"]
     kind = F.when(is_heading, "docx_heading").when(F.lower("label").isin(*LISTS), "docx_list_item").otherwise("docx_paragraph")
-    texts = routed.filter((is_heading | ~is_table) & (F.col("text") != "")).select(*keep, F.lit(0).alias("sub_index"), kind.alias("unit_type"), "text", F.concat(F.lit("item:"), F.col("item_index")).alias("locator"), *[F.lit(None).cast(t).alias(n) for n, t in (("headers", "array<string>"), ("values", "array<string>"), ("logical_row_number", "int"))])
-    tables = _table_rows(routed.filter(is_table & ~is_heading).withColumn("place", F.concat(F.lit("table:"), F.col("table_index"))), "docx_table", keep)
-    units = texts.unionByName(tables)
+    text_unit = _unit(F.lit(0), kind, F.col("text"), F.concat(F.lit("item:"), F.col("item_index")))
+    units = _exploded(routed, keep, is_table & ~is_heading, text_unit, _table_units("docx_table", F.concat(F.lit("table:"), F.col("table_index"))))
     return units, _no_text(items, units)
 
 
@@ -127,13 +147,13 @@ def pptx_units(items: DataFrame, pictures: DataFrame | None = None) -> tuple[Dat
     is_title = F.lower("label").isin(*HEADINGS) & ~is_table & (F.col("text") != "")
     slide = Window.partitionBy("path", "slide_key").orderBy("item_index")
     earlier = F.last(F.when(is_title & F.col("slide").isNotNull(), F.col("text")), ignorenulls=True).over(slide.rowsBetween(Window.unboundedPreceding, -1))
-    routed = items.withColumn("slide_key", F.coalesce("slide", F.lit(0))).withColumn("slide_title", F.when(is_title, F.col("text")).otherwise(earlier))
+    keyed = by_key(items.withColumn("slide_key", F.coalesce("slide", F.lit(0))), "path", "slide_key")
+    routed = keyed.withColumn("slide_title", F.when(is_title, F.col("text")).otherwise(earlier))
     routed = routed.withColumn("table_index", F.sum(F.when(is_table, 1).otherwise(0)).over(slide.rowsBetween(Window.unboundedPreceding, 0)))
     on_slide = lambda c: F.when(F.col("slide").isNull(), c).otherwise(F.concat(F.lit("slide:"), F.col("slide"), F.lit("/"), c))
     keep = ["path", "item_index", "slide", "slide_title"]
-    texts = routed.filter(~is_table & (F.col("text") != "")).select(*keep, F.lit(0).alias("sub_index"), F.when(is_title, "pptx_slide_title").otherwise("pptx_slide_text").alias("unit_type"), "text", on_slide(F.concat(F.lit("item:"), F.col("item_index"))).alias("locator"), *[F.lit(None).cast(t).alias(n) for n, t in (("headers", "array<string>"), ("values", "array<string>"), ("logical_row_number", "int"))])
-    tables = _table_rows(routed.filter(is_table).withColumn("place", on_slide(F.concat(F.lit("table:"), F.col("table_index")))), "pptx_slide_table", keep)
-    units = texts.unionByName(tables)
+    text_unit = _unit(F.lit(0), F.when(is_title, "pptx_slide_title").otherwise("pptx_slide_text"), F.col("text"), on_slide(F.concat(F.lit("item:"), F.col("item_index"))))
+    units = _exploded(routed, keep, is_table, text_unit, _table_units("pptx_slide_table", on_slide(F.concat(F.lit("table:"), F.col("table_index")))))
     seen = items.select("path").distinct().join(units.groupBy("path").agg(F.sum(visible_length(F.col("text"))).alias("visible")), "path", "left")
     seen = seen.join(pictures.select("path", "picture_count"), "path", "left") if pictures is not None else seen.withColumn("picture_count", F.lit(0))
     visible = F.coalesce("visible", F.lit(0))

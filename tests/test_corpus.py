@@ -2,6 +2,7 @@
 
 import io
 import json
+import time as time_of_day
 import zipfile
 from datetime import datetime, time
 from decimal import Decimal
@@ -388,3 +389,20 @@ def test_mean_confidence_is_the_same_in_any_order(spark):
         means.add(units.first().mean_confidence)
         assert issues.count() == 0
     assert means == {0.5}
+
+
+def test_items_keep_their_partitions(spark):
+    items = spark.range(4000).select(F.concat(F.lit("p"), F.col("id") % 40).alias("path"), F.col("id").cast("int").alias("item_index"), F.lit("text").alias("label"), F.lit("x").alias("text"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("array<array<string>>").alias("table_data"), (F.col("id") % 3).cast("int").alias("slide"))
+    cores = spark.sparkContext.defaultParallelism
+    for units in (I.docx_units(items.drop("slide"))[0], I.pptx_units(items.drop("level"))[0]):
+        rows = units.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert len(rows) >= cores and max(rows) < 4000 * 0.6 and sum(rows) == 4000
+
+
+def test_overlaps_of_many_equal_boxes(spark):
+    n = 200_000  # each with each would be 40 billion pairs
+    box = [(F.col("id") * 0 + v).alias(c) for c, v in (("sheet", 1), ("row1", 1), ("row2", 3), ("col1", 1), ("col2", 2))]
+    ranges, areas = spark.range(n).select(F.col("id").alias("range_id"), *box), spark.range(7, n).select(F.col("id").alias("area"), *box)
+    start = time_of_day.monotonic()
+    assert C.overlapping(ranges, areas).agg(F.count("*"), F.min("area"), F.max("area")).first() == (n, 7, 7)
+    assert time_of_day.monotonic() - start < 60
