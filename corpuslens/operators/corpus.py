@@ -77,10 +77,17 @@ def dispatch(files: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def overlapping(ranges: DataFrame, areas: DataFrame) -> DataFrame:
-    """First area (by ``area``) of the same sheet that each cell range meets; an equi-join with interval conditions."""
+    """First area (by ``area``) of the same sheet that each cell range meets.
+
+    Boxes are compared once each, whatever the number of ranges and areas that
+    have them; the ranges then look up their own.
+    """
+    box = ["sheet", "row1", "row2", "col1", "col2"]
     meets = (F.col("r.row1") <= F.col("a.row2")) & (F.col("r.row2") >= F.col("a.row1")) & (F.col("r.col1") <= F.col("a.col2")) & (F.col("r.col2") >= F.col("a.col1"))
-    joined = ranges.alias("r").join(areas.alias("a"), (F.col("r.sheet") == F.col("a.sheet")) & meets)
-    return joined.groupBy("r.sheet", "r.range_id").agg(F.min("a.area").alias("area"))
+    asked, known = ranges.select(*box).distinct(), areas.groupBy(*box).agg(F.min("area").alias("area"))
+    joined = asked.alias("r").join(known.alias("a"), (F.col("r.sheet") == F.col("a.sheet")) & meets)
+    found = joined.groupBy(*[f"r.{c}" for c in box]).agg(F.min("a.area").alias("area"))
+    return ranges.join(found, box).groupBy("sheet", "range_id").agg(F.min("area").alias("area"))
 
 
 def reading_order(regions: DataFrame, tolerance: float = 0.6) -> DataFrame:
