@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -87,37 +89,55 @@ def visible_length(text: Column) -> Column:
     return F.length(F.regexp_replace(text, r"(?U)\s", ""))
 
 
-def split_points(text: str, most: int, overlap: int) -> list[tuple[int, int]]:
-    """Windows (start, end) of a text: cut after the last blank line, else after the last line end, else at ``most``."""
+def split_windows(lines: Sequence[int], most: int, overlap: int) -> list[tuple[int, int]]:
+    """Windows (start, end) of a text whose lines have these lengths: cut after the last blank line, else after the last line end, else at ``most``."""
     if most <= 0 or overlap < 0 or overlap >= most:
         raise ValueError("need most > overlap >= 0")
-    out, at, size = [], 0, len(text)
+    ends, at = [], -1  # positions of line ends
+    for n in lines[:-1]:
+        at += int(n) + 1
+        ends.append(at)
+    size = at + 1 + int(lines[-1])
+    blank = [e for e, after in zip(ends, ends[1:]) if after == e + 1]
+    out, at = [], 0
     while at < size:
         end = min(at + most, size)
         if end < size:
-            for mark in ("\n\n", "\n"):
-                found = text.rfind(mark, at + 1, end)
-                if found >= 0:
-                    end = found + len(mark)
+            for marks, width in ((blank, 2), (ends, 1)):
+                k = bisect_right(marks, end - width) - 1
+                if k >= 0 and marks[k] > at:
+                    end = marks[k] + width
                     break
-        if text[at:end].strip():
-            out.append((at, end))
+        out.append((at, end))
         if end == size:
             break
         at = max(end - min(overlap, end - at), at + 1)
     return out
 
 
+def split_points(text: str, most: int, overlap: int) -> list[tuple[int, int]]:
+    """``split_windows`` of a text, but for windows of white space alone."""
+    return [(a, z) for a, z in split_windows([len(line) for line in text.split("\n")], most, overlap) if text[a:z].strip()]
+
+
 def split_segments(text: Column, most: int, overlap: int) -> Column:
-    """Array of (start, end) windows; the fold is sequential, so it runs in an Arrow UDF."""
+    """Array of (start, end) windows; the fold is sequential, so it runs in an Arrow UDF.
+
+    Python gets the lengths of lines, and those of texts beyond ``most`` only: no
+    text leaves the JVM, so workers hold little whatever the texts are.
+    """
     if most <= 0 or overlap < 0 or overlap >= most:
         raise ValueError("need most > overlap >= 0")
 
     @F.pandas_udf("array<struct<start:int,end:int>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"start": a, "end": z} for a, z in split_points(t or "", most, overlap)])
-
-    return cut(text)
+    def cut(lines: pd.Series) -> pd.Series:
+        return lines.map(lambda n: None if n is None else [{"start": a, "end": z} for a, z in split_windows(n, most, overlap)])
+
+    size = F.length(text)
+    whole = F.array(F.struct(F.lit(0).alias("start"), size.alias("end")))
+    long = cut(F.when(size > most, F.transform(F.split(text, "\n", -1), F.length)))
+    filled = lambda w: F.substring(text, w["start"] + 1, w["end"] - w["start"]).rlike(r"(?U)[^\s\x1C-\x1F]")
+    return F.filter(F.when(size > most, long).when(size > 0, whole).otherwise(F.array().cast("array<struct<start:int,end:int>>")), filled)
 
 
 def line_number(text: Column, position: Column) -> Column:

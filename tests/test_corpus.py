@@ -420,3 +420,13 @@ def test_scores_without_an_index_equal_those_with_one(spark):
     for pair in (r"record#\d+, token", r"query#\d+, record", r"token#\d+, record"):
         assert not re.search(r"hashpartitioning\(" + pair, plan)
     assert sorted(map(tuple, S.document_frequencies(records).collect())) == sorted(map(tuple, S.token_frequencies(S.postings(records)).collect()))
+
+
+def test_splitting_sends_no_text_to_python(spark):
+    from corpuslens.functions import text as X
+
+    texts = ["", "ab", " \n\x1c ", "ab\n\ncd\nef gh\n\n", "\n\n\n\n\n\n\n\nx", "x" * 30, "a\n" * 9, "é漢\n" * 8]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "text string").select("text", X.split_segments(F.col("text"), 7, 2).alias("s"))
+    assert "cut(text#" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = {r.text: [(s.start, s.end) for s in r.s] for r in rows.collect()}
+    assert got == {t: X.split_points(t, 7, 2) for t in texts} | {None: []}
