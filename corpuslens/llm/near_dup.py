@@ -15,7 +15,8 @@ Candidates are confirmed on the whole shingle sets.
    and not its square, and yet no link between components is lost.
 
 Components spread by alternating large-star and small-star steps over stored
-tables; nothing but counts reaches the driver.
+tables, until the links are few enough for the driver (``FEW_LINKS``); nothing
+but those and counts reaches it.
 """
 
 from __future__ import annotations
@@ -208,12 +209,27 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("x", "y", "p", "q").mapInArrow(run, "x long, y long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` of every node of ``edges`` (x, y); the root is a component's smallest node."""
-    spark = edges.sparkSession
-    edges, path = stored_at(edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y").distinct(), "edges")
+#: Links that the driver joins by itself: about 2 MB, whatever the input's size.
+FEW_LINKS = 100_000
+
+
+def components(edges: DataFrame, *, few: int = FEW_LINKS) -> DataFrame:
+    """``node, root`` of every node of ``edges`` (x, y); the root is a component's smallest node.
+
+    Up to ``few`` edges are joined on the driver, where rounds of tiny tasks would
+    take most of the time; more than that spread in rounds until they are few or
+    nothing changes.
+    """
+
+    def counted(df: DataFrame) -> tuple[DataFrame, str, dict]:
+        # Sums that stay the same mean that no edge changed.
+        seen = Observation()
+        new = df.filter("x <> y").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")).alias("sum"))
+        return *stored_at(new, "edges"), seen.get
+
+    edges, path, now = counted(edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")))
     before = None
-    while True:
+    while now["n"] > few and now != before:
         # Large star: neighbours above a node move to its smallest neighbour.
         both = edges.union(edges.select("y", "x"))
         low = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
@@ -222,18 +238,34 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y")
         low = down.groupBy("x").agg(F.min("y").alias("m"))
         small = down.join(low, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).union(low.select("x", F.col("m").alias("y")))
-        # Sums that stay the same mean that no edge changed.
-        seen = Observation()
-        new = small.filter("x <> y").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")).alias("sum"))
-        edges, new_path = stored_at(new, "edges")
-        remove(spark, path)
-        path, now = new_path, seen.get
-        if now == before or not now["n"]:
-            break
         before = now
+        edges, new_path, now = counted(small)
+        remove(edges.sparkSession, path)
+        path = new_path
+    if now["n"] <= few:
+        return _joined(edges)
     return edges.select(F.col("x").alias("node"), F.col("y").alias("root")).union(edges.select("y", "y").distinct())
 
 
+def _joined(edges: DataFrame) -> DataFrame:
+    """``components`` of few edges, by union-find on the driver."""
+    above: dict[int, int] = {}
+
+    def top(n: int) -> int:
+        while (up := above.setdefault(n, n)) != n:
+            above[n] = n = above[up]
+        return n
+
+    for x, y in zip(*(c.to_pylist() for c in edges.toArrow().columns)):
+        p, q = top(x), top(y)
+        above[max(p, q)] = min(p, q)
+    nodes = sorted(above)
+    if not nodes:
+        return edges.select(F.col("x").alias("node"), F.col("y").alias("root"))
+    found = pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array([top(n) for n in nodes], pa.int64())})
+    return stored(edges.sparkSession.createDataFrame(found), "roots")
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, widths: tuple[int, int] = (2, 3), miss: float = 1e-4, orders: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, version`` for each row of ``docs`` (doc_id, text).
 
@@ -275,6 +307,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     links = stored(_confirmed(_likely(star, shapes, percent, needed), sets, percent), "links")
     roots = components(links)
 
+    def joined(more: DataFrame) -> tuple[DataFrame, int]:
+        """Roots with these links too, which meet stars rather than all earlier links; and their number."""
+        seen = Observation()
+        more = stored(more.observe(seen, F.count(F.lit(1)).alias("n")), "links")
+        return (components(roots.toDF("x", "y").union(more)) if seen.get["n"] else roots), seen.get["n"]
+
     def rooted(ids: DataFrame) -> DataFrame:
         return ids.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
@@ -285,11 +323,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
         apart = apart.groupBy("cid", F.col("leader.cid").alias("y")).agg(F.count("*").alias("tables"))
         nearest = Window.partitionBy("cid").orderBy(F.desc("tables"), "y")
         near = apart.withColumn("place", F.row_number().over(nearest)).filter("place <= 3").select(F.col("cid").alias("x"), "y")
-        more = stored(_confirmed(_likely(near, shapes, percent, needed), sets, percent), "links")
-        if not more.limit(1).count():
+        roots, n = joined(_confirmed(_likely(near, shapes, percent, needed), sets, percent))
+        if not n:
             break
-        links = links.union(more)
-        roots = components(links)
 
     placed = rooted(met.select("cid", "table", "key"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
@@ -298,9 +334,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, width
     one, two = (open_.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("cid", "root", "table", "n", "bits", "sketch", "a", "b")]) for c in "xy")
     meet = (one["key"] == two["key"]) & (F.col("root_x") < F.col("root_y")) & (F.col("table_x") == F.col("table_y"))
     across = one.join(two, meet & _alike(percent, needed) & _first_met(counts[1])).select(F.col("cid_x").alias("x"), F.col("cid_y").alias("y"))
-    more = stored(_confirmed(across, sets, percent), "links")
-    if more.limit(1).count():
-        roots = components(links.union(more))
+    roots, _ = joined(_confirmed(across, sets, percent))
 
     of_class = classes.select("cid", "h1", "h2", "lead_doc").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     first_doc = of_class.groupBy("root").agg(F.min("lead_doc").alias("component"))

@@ -186,6 +186,25 @@ def test_open_buckets_alone_find_the_links_across(spark):
     assert [r.component_id for r in rows] == root
 
 
+def test_components_of_few_links_take_no_rounds(spark):
+    rng = random.Random(5)
+    edges = [(k + 1, k) for k in range(100, 140)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(7, 7)]
+    root = {n: n for e in edges for n in e if e[0] != e[1]}
+    for _ in edges:
+        for x, y in edges:
+            if x != y:
+                root[x] = root[y] = min(root[x], root[y])
+    frame, tracker = spark.createDataFrame(edges, "x long, y long"), spark.sparkContext.statusTracker()
+    jobs = {}
+    for few in (near_dup.FEW_LINKS, 3):
+        spark.sparkContext.setJobGroup(f"few-{few}", "components")
+        assert {tuple(r) for r in near_dup.components(frame, few=few).collect()} == set(root.items())
+        jobs[few] = len(tracker.getJobIdsForGroup(f"few-{few}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[near_dup.FEW_LINKS] <= 8 < jobs[3]
+    assert near_dup.components(frame.limit(0)).count() == 0
+
+
 def test_word_polynomials_in_stretches(monkeypatch):
     rng = random.Random(7)
     texts = [" ".join("ab"[rng.randrange(2)] * rng.randrange(1, 40) for _ in range(200)), "z" * 500, "one two three four five six"]
