@@ -78,7 +78,56 @@ _NAMES = re.compile(
     rf"\b(?:(?:{'|'.join(TITLES)})\.?(?P<gap>[  ])(?:(?P<g1>{'|'.join(map(re.escape, _GIVEN))})(?P<gap1>[  ]))?(?P<s1>{_NAME})(?:(?P<gap3>[  ])(?!(?:{'|'.join(map(re.escape, _GIVEN))})\b)(?P<s3>{_NAME}))?"
     rf"|(?P<g2>{'|'.join(map(re.escape, _GIVEN))})(?P<gap2>[  ])(?P<s2>{_NAME}))"
 )
-_DIGIT = re.compile(r"\d|@|(?i:password|secret|api[_ -]?key|token)")
+# Where matches may begin: sets of characters and plain words, which the engine finds without trying every branch of
+# the patterns above.  "ı", "İ", "ſ" and the Kelvin sign are letters of (?i) words too.
+_NAME_STARTS = re.compile("|".join(map(re.escape, sorted({*TITLES, *_GIVEN}))))
+_DIGIT = re.compile(r"[\d@]")  # with one of these, AKIA or a secret's word a text can hold a match
+_PAIRED = re.compile(r"[=:]")
+_SECRETS = re.compile(r"[pPsSſaAtT](?:(?<=[pP])(?i:assword)|(?<=[sSſ])(?i:ecret)|(?<=[aA])(?i:pi[_ -]?key)|(?<=[tT])(?i:oken))[\"']?\s*[=:]")
+_NUMBER_STARTS = re.compile(
+    r"[\d+(A-Zpsſatmcf](?:(?<=[\d+])|(?<=\()\d|(?<=A)KIA|(?<=[A-Z])[A-Z]\d|(?<=[pP])(?i:assword|hone)|(?<=[sSſ])(?i:ecret)"
+    r"|(?<=[aA])(?i:pi[_ -]?key)|(?<=[tT])(?i:oken|el)|(?<=[mM])(?i:obile)|(?<=[cC])(?i:all|ell)|(?<=[fF])(?i:ax))"
+)
+_LOCAL = re.compile(r"(?<![\w.+-])[\w.+-]++@")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")
+_LETTER = re.compile(r"[A-Za-z0-9]")
+
+
+def _names(text: str) -> Iterator[re.Match]:
+    """What ``_NAMES.finditer`` finds."""
+    at = 0
+    while start := _NAME_STARTS.search(text, at):
+        m = _NAMES.match(text, start.start())
+        at = m.end() if m else start.start() + 1
+        if m:
+            yield m
+
+
+def _numbers(text: str) -> Iterator[re.Match]:
+    """What ``_NUMBERS.finditer`` finds."""
+    if not _DIGIT.search(text) and "AKIA" not in text and not (_PAIRED.search(text) and _SECRETS.search(text)):
+        return
+    # Parts before an @ that a domain follows; an address begins at any letter or digit of such a part.
+    mails = [(m.start(), m.end() - 1) for m in _LOCAL.finditer(text) if _DOMAIN.match(text, m.end())] if "@" in text else []
+    mails.reverse()
+    at, start, mail = 0, _NUMBER_STARTS.search(text), None
+    while True:
+        if start and start.start() < at:
+            start = _NUMBER_STARTS.search(text, at)
+        if mail and mail.start() < at:
+            mail = None
+        while mails and not mail:
+            a, z = mails[-1]
+            mail = _LETTER.search(text, max(a, at), z) if at < z else None
+            if not mail:
+                mails.pop()
+        if not start and not mail:
+            return
+        begin = min(m.start() for m in (start, mail) if m)
+        m = _NUMBERS.match(text, begin)
+        at = m.end() if m else begin + 1
+        if m:
+            yield m
 
 
 def _upper(word: str) -> bool:
@@ -92,10 +141,10 @@ def find(text: str) -> list[tuple[int, int, str]]:
     name found anywhere in the text is found wherever it stands capitalised.
     """
     spans = []
-    if _DIGIT.search(text):
-        spans = [(*m.span(m.lastgroup), "phone" if m.lastgroup == "number" else m.lastgroup) for m in _NUMBERS.finditer(text)]
+    for m in _numbers(text):
+        spans.append((*m.span(m.lastgroup), "phone" if m.lastgroup == "number" else m.lastgroup))
     people = []
-    for m in _NAMES.finditer(text):
+    for m in _names(text):
         part = "1" if m["s1"] else "2"
         if _upper(m[f"s{part}"]):
             if m[f"g{part}"]:
