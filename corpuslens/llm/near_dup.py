@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.scratch import by_bytes, remove, stored, stored_at
+from corpuslens.llm.scratch import by_bytes, remove, stored, stored_at, tidy
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
@@ -171,7 +171,7 @@ def _summaries(docs: DataFrame, width: int, counts: tuple[int, int], widths: tup
                     names=["doc_id", "version", "n_shingles", "h1", "h2", "sketch", "bits", "a", "b"],
                 )
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("version")).mapInArrow(run, BASE_SCHEMA)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("version")).mapInArrow(tidy(run), BASE_SCHEMA)
 
 
 def _sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -187,7 +187,7 @@ def _sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(same, pa.int32())), pa.array([sets[i].tobytes() for i in same], pa.binary())], names=["cid", "shingles"])
 
     rows = docs.join(classes.select("cid", F.col("lead_doc").alias("doc_id"), "h1"), "doc_id").select("cid", "text", "h1")
-    return rows.mapInArrow(run, "cid long, shingles binary").dropDuplicates(["cid"])
+    return rows.mapInArrow(tidy(run), "cid long, shingles binary").dropDuplicates(["cid"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -206,7 +206,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("cid").alias("x"), F.col("shingles").alias("p"))
     right = sets.select(F.col("cid").alias("y"), F.col("shingles").alias("q"))
-    return pairs.join(left, "x").join(right, "y").select("x", "y", "p", "q").mapInArrow(run, "x long, y long")
+    return pairs.join(left, "x").join(right, "y").select("x", "y", "p", "q").mapInArrow(tidy(run), "x long, y long")
 
 
 #: Links that the driver joins by itself: about 2 MB, whatever the input's size.

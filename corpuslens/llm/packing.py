@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.scratch import tidy
 from corpuslens.llm.vocab import memo, shipped
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, cost double"
@@ -119,4 +120,4 @@ def pack(docs: DataFrame, tokenizer_path: str, *, sequence_tokens: int = 2048, e
             if ids:
                 yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), SCHEMA)

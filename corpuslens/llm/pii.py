@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from corpuslens.llm.scratch import stored
+from corpuslens.llm.scratch import by_bytes, stored, tidy
 
 # Given names by gender and script, and titles that announce a surname (fixed values).
 GIVEN = {
@@ -312,7 +312,7 @@ def entities(docs: DataFrame) -> DataFrame:
             found = {(k, canonical(k, t[a:z])) for t in batch.column(0).to_pylist() if t for a, z, k in find(t)}
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string())], names=["kind", "value"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "kind string, value string").distinct()
+    return docs.select(F.col("text").cast("string")).mapInArrow(tidy(run), "kind string, value string").distinct()
 
 
 def collisions(docs: DataFrame, key: bytes, *, rounds: int = 200) -> DataFrame:
@@ -390,7 +390,7 @@ def pseudonymize(docs: DataFrame, key: bytes, *, small: int = 50_000) -> DataFra
         rows = docs.join(own, F.xxhash64(text) == own["text_hash"], "left").select(*names, "entities", "attempts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in by_bytes(whole, text_at)):
             texts = batch.column(text_at).to_pylist()
             extra = [shared] * len(texts)
             if not few:
@@ -399,4 +399,4 @@ def pseudonymize(docs: DataFrame, key: bytes, *, small: int = 50_000) -> DataFra
             columns = [pa.array([d[0] for d in done], pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([d[1] for d in done], pa.list_(pa.string()))], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,10 +64,34 @@ def by_bytes(batch: pa.RecordBatch, text: int, *, rows: int = 250, size: int = 1
     """Slices of ``batch`` of at most ``rows`` rows whose texts (column ``text``) hold about ``size`` bytes; a longer text comes alone."""
     start, held = 0, 0
     for i, value in enumerate(batch.column(text)):
-        n = value.as_buffer().size if value.is_valid else 0
+        n = value.as_buffer().size if value.is_valid and hasattr(value, "as_buffer") else 0
         if i > start and (held + n > size or i - start >= rows):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
     if batch.num_rows > start:
         yield batch.slice(start)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, after which its worker gives free memory back.
+
+    Workers serve many tasks and stages; Arrow's pool and the allocator would
+    keep the most that any task has used.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
+def release() -> None:
+    """Free memory of Arrow's pool and, where it is glibc's, of the allocator goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

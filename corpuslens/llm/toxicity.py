@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from corpuslens.llm.scratch import by_bytes, tidy
+
 # Words of the grammar's closed classes (fixed values).
 THREATS = "kill murder hurt destroy burn stab shoot strangle umbringen töten erschlagen verbrennen tuer frapper brûler égorger matar golpear quemar destruir".split()
 TARGETS = "you your yours u he she they him her them du dich dir dein ihr euch sie tu toi te vous votre ton ustedes usted tú ti vosotros".split()
@@ -292,7 +294,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, *, samp
             found = [m.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found]), pa.array([f[1] for f in found]), batch.column(1)], names=["x", "y", "toxic"])
 
-    seen = rows.select("text", "toxic").mapInArrow(measure, "x double, y double, toxic int").toPandas()
+    seen = rows.select("text", "toxic").mapInArrow(tidy(measure), "x double, y double, toxic int").toPandas()
     return Model(model.stems, fit_curve(seen[["x", "y"]].to_numpy(), seen["toxic"].to_numpy().astype(float)))
 
 
@@ -310,8 +312,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            found = [m.score(None if t is None else str(t)) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=schema.names)
+            for part in by_bytes(batch, text):
+                found = [m.score(None if t is None else str(t)) for t in part.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=schema.names)
 
     # Columns go by place, whatever their names hold.
-    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(run, schema)
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(tidy(run), schema)

@@ -5,12 +5,13 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpuslens.llm import decontaminate, direct_codes, language, license, near_dup, packing, pii, topk, toxicity, url_rules, vocab
 from corpuslens.llm.queries import URL_RULES, vocabulary
-from corpuslens.llm.scratch import shared_folder
+from corpuslens.llm.scratch import by_bytes, shared_folder, tidy
 
 ODD = [None, "", " ", "a  b", " a", "a ", "x\ty", "a\n\nb", "Été, ça va?", "日本語 text", "don't", "ΣΑΣ Σ", "1234 +1 (5)", "<|endoftext|>", "w " * 3000]
 
@@ -169,6 +170,23 @@ def test_entities_of_plain_prose_take_less_than_half_of_the_patterns_time():
     assert seconds(lambda: [list(pii._numbers(t)) for t in runs[1:]]) < 5
 
 
+def test_workers_give_free_memory_back():
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon:")) // 1024
+
+    def run(batches):
+        for batch in batches:
+            many = [pa.array([f"{i}{k}" * 20 for i in range(20_000)]) for k in range(20)]
+            yield batch.slice(0, len(many))
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(["x" * 100_000] * 30)], names=["n", "text"])
+    before = held()
+    assert [b.num_rows for b in tidy(run)(iter([batch]))] == [20]
+    assert held() < before + 25
+    assert [b.num_rows for b in by_bytes(batch, 1)] == [10, 10, 10] and [b.num_rows for b in by_bytes(batch, 0)] == [30]
+
+
 def brute_components(texts, width, percent):
     sets = []
     for t in texts:
